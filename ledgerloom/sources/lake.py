@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import storage
-from ledgerloom.schemas import BATCH_COL, BUCKET_COL, KINDS, RAW_BUCKETS, RecordKind
+from ledgerloom.schemas import BATCH_COL, BUCKET_COL, KINDS, RAW_BUCKETS
 
 _LAYOUT = [T.StructField(BUCKET_COL, T.IntegerType()), T.StructField(BATCH_COL, T.StringType())]
 COMPACTED = "compacted"
@@ -109,6 +109,7 @@ class Lake:
         if before != after:
             raise RuntimeError(f"{table}: staged {after} rows for {before}; table left as it was")
         self.overwrite_partitions(table, staged)
+        storage.delete(self.spark, staging)
 
     # -- maintenance -------------------------------------------------------
     def compact(self, table: str, generation: str) -> dict[str, int]:
@@ -116,9 +117,11 @@ class Lake:
 
         The compacted copy is staged and counted; then each bucket folder is
         swapped by rename. The replaced folders stay aside under a hidden name
-        until all swaps are done, so an interrupted run can be put right.
+        until all swaps are done; the next run puts back what an interrupted
+        one left missing.
         """
         path = self.path(table)
+        self._put_back(path)
         files_before = storage.data_file_count(self.spark, path)
         staging = storage.new_dir(self.spark, f"compact-{table}")
         source = self.scan(table)
@@ -137,10 +140,16 @@ class Lake:
             storage.rename(self.spark, f"{path}/{name}", f"{aside}/{name}")
             storage.rename(self.spark, f"{staging}/{name}", f"{path}/{name}")
         storage.delete(self.spark, aside)
+        storage.delete(self.spark, staging)
         self.spark.catalog.refreshByPath(path)
         return {"files_before": files_before,
                 "files_after": storage.data_file_count(self.spark, path)}
 
-
-def kind_of(table: str) -> RecordKind:
-    return KINDS[table]
+    def _put_back(self, path: str) -> None:
+        for aside in storage.child_names(self.spark, path):
+            if not aside.startswith("_replaced-"):
+                continue
+            for name in storage.child_names(self.spark, f"{path}/{aside}"):
+                if not storage.exists(self.spark, f"{path}/{name}"):
+                    storage.rename(self.spark, f"{path}/{aside}/{name}", f"{path}/{name}")
+            storage.delete(self.spark, f"{path}/{aside}")
