@@ -5,6 +5,7 @@ from ledgerloom.functions.scalars import (
     decode_notify,
     default_if_missing,
     ingest_stamp,
+    little_endian,
     parse_iso_timestamp,
     progress_percent,
     short_hash,
@@ -16,6 +17,6 @@ from ledgerloom.functions.scalars import (
 
 __all__ = [
     "coin_to_satoshis", "compact_target", "composite_key", "decode_notify",
-    "default_if_missing", "ingest_stamp", "parse_iso_timestamp", "progress_percent",
+    "default_if_missing", "ingest_stamp", "little_endian", "parse_iso_timestamp", "progress_percent",
     "short_hash", "text_to_satoshis", "utc_wall_clock", "wire_timestamp", "wrap_uint32",
 ]

@@ -73,10 +73,15 @@ def short_hash(c: Column | str) -> Column:
     return F.concat(F.substring(_col(c), 1, 16), F.lit("..."))
 
 
+def little_endian(hex_text: Column) -> Column:
+    """Eight hex digits with their four bytes in opposite order."""
+    return F.concat(*[F.substring(hex_text, i, 2) for i in (7, 5, 3, 1)])
+
+
 def decode_notify(body: Column | str, seq: Column | str) -> tuple[Column, Column]:
     """Notification body to hex text, and its little-endian uint32 counter to a BIGINT."""
     block_hash = F.lower(F.hex(_col(body)))
-    number = F.conv(F.hex(F.reverse(_col(seq))), 16, 10).cast("bigint")
+    number = F.conv(little_endian(F.hex(_col(seq))), 16, 10).cast("bigint")
     return block_hash, number
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COOLDOWN_SECONDS = 86_400
@@ -44,17 +44,30 @@ def failure_streaks(runs: DataFrame) -> DataFrame:
 
 def alerts(checks: DataFrame, every: int = CHECK_SECONDS,
            cooldown: int = COOLDOWN_SECONDS) -> DataFrame:
-    """(service, run): the first failure of a streak, then one per cooldown while it lasts.
+    """(service, run): the first failure of a streak, then one per cooldown while it lasts."""
+    none = checks.select("service", F.lit(None).cast("bigint").alias("last_alert")).limit(0)
+    return alerts_from_runs(check_runs(checks, every), none, every, cooldown)
+
+
+def alerts_from_runs(runs: DataFrame, last_alerts: DataFrame, every: int = CHECK_SECONDS,
+                     cooldown: int = COOLDOWN_SECONDS) -> DataFrame:
+    """As ``alerts``, continuing from the last unforgotten alert of each service.
 
     A success forgets the last alert, so streaks are independent of each other
-    and each is folded on its own.
+    and each is folded on its own; only a service's first streak, the one no
+    success precedes, goes on from before.
     """
     gap = F.lit(-(-cooldown // every)).cast("bigint")
-    streaks = failure_streaks(check_runs(checks, every)).groupBy("service", "streak").agg(
+    streaks = failure_streaks(runs).groupBy("service", "streak").agg(
         F.array_sort(F.collect_list("run")).alias("runs"))
-    sent = F.aggregate(
-        "runs", F.from_json(F.lit("[]"), "array<bigint>"),
-        lambda out, run: F.when(
-            (F.size(out) == 0) | (run - F.element_at(out, -1) >= gap),
-            F.concat(out, F.array(run))).otherwise(out))
-    return streaks.select("service", F.explode(sent).alias("run"))
+    seeded = streaks.join(last_alerts, "service", "left").withColumn(
+        "seed", F.when((F.col("streak") == 0) & F.col("last_alert").isNotNull(),
+                       F.array("last_alert")).otherwise(F.array().cast("array<bigint>")))
+
+    def fold(out: Column, run: Column) -> Column:
+        due = (F.size(out) == 0) | (run - F.try_element_at(out, F.lit(-1)) >= gap)
+        return F.when(due, F.concat(out, F.array(run))).otherwise(out)
+
+    sent = F.aggregate("runs", F.col("seed"), fold)
+    fresh = F.slice(sent, F.size("seed") + 1, F.greatest(F.size(sent), F.lit(1)))
+    return seeded.select("service", F.explode(fresh).alias("run"))

@@ -13,7 +13,7 @@ _PERMISSIVE = T.StructType(list(BLOCK_DOCUMENT.fields) + [T.StructField(CORRUPT,
 
 
 def write_documents(documents: DataFrame, path: str) -> None:
-    documents.write.mode("overwrite").option("compression", "zstd").json(path)
+    documents.write.mode("overwrite").option("compression", "gzip").json(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

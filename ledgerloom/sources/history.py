@@ -32,7 +32,7 @@ def write_history(frames: LedgerFrames, root: str, sep: str = ";") -> None:
     """Dump the historical columns of the four frames as CSV."""
     for table, frame in frames.items():
         (frame.select(*history_columns(table)).write.mode("overwrite")
-         .option("sep", sep).option("emptyValue", "").option("compression", "zstd")
+         .option("sep", sep).option("emptyValue", "").option("compression", "gzip")
          .csv(f"{root}/{table}"))
 
 

@@ -153,3 +153,10 @@ class Lake:
                 if not storage.exists(self.spark, f"{path}/{name}"):
                     storage.rename(self.spark, f"{path}/{aside}/{name}", f"{path}/{name}")
             storage.delete(self.spark, f"{path}/{aside}")
+
+
+def overwrite_by(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+    """Replace the partitions present in ``df`` and leave all others alone."""
+    (df.hint("rebalance", *[F.col(c) for c in partition_cols])
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd").partitionBy(*partition_cols).parquet(path))
