@@ -8,11 +8,24 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size Spark's own statistics give for the frame."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def auto_broadcast_bytes(df: DataFrame) -> int:
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return int(conf.autoBroadcastJoinThreshold())
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the frame is counted to be small; else leave the join to Spark.
+    """Hint a broadcast for a frame of at most ``max_rows`` rows; else leave the join to Spark.
 
-    The count stops at the bound, so a large frame is not read through.
+    A frame Spark would broadcast by itself is returned as it is. Any other is
+    counted, and the count stops just above the bound.
     """
+    if estimated_bytes(df) <= auto_broadcast_bytes(df):
+        return df
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df

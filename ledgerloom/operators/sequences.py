@@ -8,18 +8,13 @@ border. The answer is the same as with one large window.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BAND_WIDTH = 1 << 20
-HOT_ROWS = 2_000_000
-
+from ledgerloom.operators.skew import HOT_ROWS, hot_keys
 
-def _same(left: str, right: str, keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
-    return cond
+BAND_WIDTH = 1 << 20
+MAX_PIECES = 20_000
 
 
 def _lag_over_bands(df: DataFrame, keys: list[str], order: list[str], value: str, band: str,
@@ -30,10 +25,10 @@ def _lag_over_bands(df: DataFrame, keys: list[str], order: list[str], value: str
     tails = (df.groupBy(*keys, band)
              .agg(F.max_by(F.col(value), F.struct(*order)).alias("_tail")))
     across = Window.partitionBy(*keys).orderBy(band) if keys else Window.orderBy(band)
-    heads = tails.select(*keys, F.col(band), F.lag("_tail").over(across).alias("_carry"))
-    joined = local.alias("l").join(heads.alias("h"), _same("l", "h", [*keys, band]), "left")
-    result = F.when(F.col("l._rn") == 1, F.col("h._carry")).otherwise(F.col("l._local"))
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns if c != band], result.alias(out))
+    heads = tails.select(*keys, band, F.lag("_tail").over(across).alias("_carry"))
+    joined = local.join(heads, [*keys, band], "left")
+    result = F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_local"))
+    return joined.select(*[c for c in df.columns if c != band], result.alias(out))
 
 
 def lag_by_number(df: DataFrame, number: str, value: str, out: str,
@@ -65,34 +60,32 @@ def lag_in_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
                hot_rows: int | None = None) -> DataFrame:
     """``value`` of the previous row of the same ``key``; ``order`` must be unique per key.
 
-    Keys of ordinary size take one window. A key with more than ``hot_rows``
-    rows is cut along split points drawn from its own order values, as a range
-    partitioning does; the split points only balance the work and cannot change
-    the result. At most 10,000 keys can be hot, so the split table is bounded.
+    Keys of ordinary size take one window. A hot key is cut along split points
+    drawn from its own order values, as a range partitioning does; the split
+    points only balance the work and cannot change the result.
     """
     plain = Window.partitionBy(key).orderBy(*order)
-    total = df.count()
-    limit = max(hot_rows or HOT_ROWS, total // 10_000)
-    if total <= limit:
-        return df.withColumn(out, F.lag(value).over(plain))
-    hot = {r[key]: r["n"] for r in
-           df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > limit).collect()}
+    hot = hot_keys(df, key, hot_rows)
     if not hot:
         return df.withColumn(out, F.lag(value).over(plain))
-
-    splits = _split_points(df, key, order, hot, limit)
-    marked = df.join(F.broadcast(splits), key, "left")
-    cold = (marked.where(F.col("_splits").isNull()).drop("_splits")
-            .withColumn(out, F.lag(value).over(plain)))
+    is_hot = F.coalesce(F.col(key).isin(list(hot)), F.lit(False))
+    cold = df.where(~is_hot).withColumn(out, F.lag(value).over(plain))
+    splits = _split_points(df.where(is_hot), key, order, hot, hot_rows or HOT_ROWS)
     here = F.struct(*order)
-    band = F.size(F.filter("_splits", lambda s: s <= here))
-    heavy = marked.where(F.col("_splits").isNotNull()).withColumn("_band", band).drop("_splits")
+    heavy = (df.where(is_hot).join(F.broadcast(splits), key)
+             .withColumn("_band", F.size(F.filter("_splits", lambda s: s <= here)))
+             .drop("_splits"))
     return cold.unionByName(_lag_over_bands(heavy, [key], order, value, "_band", out))
 
 
 def _split_points(df: DataFrame, key: str, order: list[str], hot: dict, limit: int) -> DataFrame:
-    """One row per hot key with its sorted split points, at most rows/limit of them."""
-    pieces = {k: -(-n // limit) * 2 for k, n in hot.items()}
+    """One row per hot key with its sorted split points.
+
+    All keys together get at most ``MAX_PIECES`` pieces and 20 sampled rows per
+    piece, which bounds what is collected and what is broadcast.
+    """
+    scale = min(1.0, MAX_PIECES / sum(2.0 * n / limit for n in hot.values()))
+    pieces = {k: max(2, int(2.0 * n / limit * scale)) for k, n in hot.items()}
     fractions = {k: min(1.0, 20.0 * pieces[k] / hot[k]) for k in hot}
     drawn: dict = {k: [] for k in hot}
     for row in df.select(key, *order).sampleBy(key, fractions, seed=7).collect():

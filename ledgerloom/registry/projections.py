@@ -124,7 +124,7 @@ def uint32_wrap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    outs = Workspace(spark, sf).views.tx_out.select(
+    outs = Workspace(spark, sf).views.line_outputs().select(
         "txid", "indexOut", "value", "scriptPubKey", "address")
     back = outs.select(F.struct("*").alias("before"), F.from_json(
         F.to_json(F.struct("*")), outs.schema).alias("after"))
@@ -185,7 +185,7 @@ def coinbase_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def addressed_outputs(spark: SparkSession, sf: str) -> DataFrame:
-    outs = Workspace(spark, sf).views.tx_out.where(F.col("address") != "")
+    outs = Workspace(spark, sf).views.line_outputs().where(F.col("address") != "")
     return outs.groupBy("address").agg(F.count("*").alias("outputs"),
                                        F.sum("value").alias("satoshis"))
 

@@ -65,13 +65,13 @@ def flat_block(spark: SparkSession, sf: str) -> DataFrame:
 
 def flat_range(spark: SparkSession, sf: str) -> DataFrame:
     """Flat rows of the whole chain."""
-    return flat_text(flat.build_flat(_views(spark, sf).frames()))
+    return flat_text(flat.build_flat(_views(spark, sf).frames_unplaced()))
 
 
 def flat_fanout_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Inputs replayed once: distinct counts stay right, sums double."""
     v = _views(spark, sf)
-    frames = LedgerFrames(v.blocks, v.transactions, v.tx_in.unionByName(v.tx_in), v.tx_out)
+    frames = LedgerFrames(v.blocks, v.transactions, v.tx_in.unionByName(v.tx_in), v.line_outputs())
     return flat.fanout_counts(frames).select(
         "txid", _wide("height"), "joined_rows", "input_count", "output_count", "inflated_value")
 
@@ -150,7 +150,7 @@ def distinct_children(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.table_counts(_views(spark, sf).frames())
+    return counts.table_counts(_views(spark, sf).frames_unplaced())
 
 
 def block_record_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,7 +163,7 @@ def run_averages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def value_checksum(spark: SparkSession, sf: str) -> DataFrame:
-    sums = counts.value_checksum(_views(spark, sf).frames())
+    sums = counts.value_checksum(_views(spark, sf).frames_unplaced())
     return sums.withColumn("satoshis", F.col("satoshis").cast("string"))
 
 
@@ -188,7 +188,7 @@ def chain_breaks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def height_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    out = validate.height_gaps(_views(spark, sf).blocks, width=512)
+    out = validate.height_gaps(_views(spark, sf).blocks)
     return out.select(_wide("gap_start"), _wide("gap_length"))
 
 
@@ -201,7 +201,7 @@ def build_progress(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def seq_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return sequence_gaps(_views(spark, sf).notifications, width=1 << 10)
+    return sequence_gaps(_views(spark, sf).notifications)
 
 
 def compact_latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -215,7 +215,7 @@ def latest_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_violations(spark: SparkSession, sf: str) -> DataFrame:
-    return validate.order_violations(_views(spark, sf).topic_offsets(), width=1 << 12)
+    return validate.order_violations(_views(spark, sf).topic_offsets())
 
 
 def dual_path_union(spark: SparkSession, sf: str) -> DataFrame:

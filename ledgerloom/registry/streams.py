@@ -19,7 +19,7 @@ from ledgerloom.registry.workspace import (
 )
 from ledgerloom.schemas import KINDS
 from ledgerloom.sources import topics
-from ledgerloom.sources.documents import parse_documents
+from ledgerloom.sources.documents import parse_documents, stream_documents
 from ledgerloom.sources.lake import Lake
 from ledgerloom.sources.views import SEEN_AT
 from ledgerloom.streaming import ingest
@@ -36,6 +36,16 @@ def _drain(ws: Workspace, root: str, lake: Lake, checkpoint: str) -> None:
                                          files_per_batch=ingest.FILES_PER_BATCH))
 
 
+def publish_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents read as a stream and published; every record key arrives."""
+    ws = Workspace(spark, sf)
+    root = ws.new_dir("topics")
+    ingest.start_publish(stream_documents(spark, ws.documents_dir()), root,
+                         ws.new_dir("checkpoint"), available_now=True).awaitTermination()
+    return topics.read_topics(spark, root).groupBy("topic").agg(
+        F.count_distinct("key").alias("distinct_keys"))
+
+
 def stream_raw_append(spark: SparkSession, sf: str) -> DataFrame:
     ws = Workspace(spark, sf)
     lake = ws.new_lake("stream")
@@ -206,10 +216,13 @@ _AFTER = """SELECT b.height, b.block_hash, b.nNonce,
     FROM blocks b LEFT JOIN changes c ON c.block_hash = b.block_hash"""
 QUERIES = {
     f.__name__: f for f in (
-        stream_raw_append, stream_replay_safe, stream_resume, catchup_range, flat_incremental,
+        publish_stream, stream_raw_append, stream_replay_safe, stream_resume, catchup_range, flat_incremental,
         flat_refresh_status, finality_apply, quarantine, seq_gaps_stream, alert_cooldown_stream)
 }
 ORACLES = {
+    "publish_stream": ledger(" UNION ALL ".join(
+        f"SELECT '{k.topic}' AS topic, count(*) AS distinct_keys FROM "
+        f"(SELECT DISTINCT {', '.join(k.key)} FROM {t}) u" for t, k in KINDS.items()), *_ALL),
     "stream_raw_append": _SUMMARY,
     "stream_replay_safe": _SUMMARY,
     "stream_resume": _SUMMARY,

@@ -93,12 +93,7 @@ class Lake:
         touched = [tuple(r) for r in differing.select(BUCKET_COL, BATCH_COL).distinct().collect()]
         if not touched:
             return
-        by_batch: dict[str, list[int]] = {}
-        for bucket, batch in touched:
-            by_batch.setdefault(batch, []).append(bucket)
-        inside = F.lit(False)
-        for batch, buckets in by_batch.items():
-            inside = inside | ((F.col(BATCH_COL) == batch) & F.col(BUCKET_COL).isin(buckets))
+        inside = self._folders(touched)
         part = current.where(inside)
         updated = (part.join(new, on, "left")
                    .withColumn(column, F.coalesce(F.col("_new"), F.col(column))).drop("_new"))
@@ -111,6 +106,24 @@ class Lake:
         self.overwrite_partitions(table, staged)
         storage.delete(self.spark, staging)
 
+    @staticmethod
+    def _folders(touched: list[tuple[int, str]]) -> Column:
+        """Condition that prunes the scan to the given (bucket, batch) folders.
+
+        Beyond 200 batches it settles for all combinations, which is a superset:
+        the extra folders are rewritten with what they hold.
+        """
+        by_batch: dict[str, list[int]] = {}
+        for bucket, batch in touched:
+            by_batch.setdefault(batch, []).append(bucket)
+        if len(by_batch) > 200:
+            return (F.col(BATCH_COL).isin(list(by_batch))
+                    & F.col(BUCKET_COL).isin(sorted({b for b, _ in touched})))
+        inside = F.lit(False)
+        for batch, buckets in by_batch.items():
+            inside = inside | ((F.col(BATCH_COL) == batch) & F.col(BUCKET_COL).isin(buckets))
+        return inside
+
     # -- maintenance -------------------------------------------------------
     def compact(self, table: str, generation: str) -> dict[str, int]:
         """Fold all batches of every bucket into one, as few files as the size allows.

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerloom import functions as L
 from ledgerloom.operators.normalize import LedgerFrames
 from ledgerloom.operators.sequences import lag_in_key
+from ledgerloom.operators.skew import join_many_to_one
 from ledgerloom.schemas import (
     COINBASE_INDEX,
     CONFIRMATIONS,
@@ -148,7 +149,8 @@ class LedgerViews:
         """Joined on txid, so that work per transaction reuses the same shuffle."""
         h = F.col("h")
         owner = self._orders().select(self.txid(F.col("o_orderkey")).alias("txid"), "h")
-        return self.line_outputs().join(owner, "txid").select(
+        placed = join_many_to_one(self.line_outputs(), owner, "txid", hot_rows=self.hot_rows)
+        return placed.select(
             "txid", "indexOut", h.alias("height"), "value", "scriptPubKey", "address",
             self.block_hash(h).alias("block_hash"),
             L.utc_wall_clock(self._time(h)).alias("block_timestamp"),
@@ -156,6 +158,10 @@ class LedgerViews:
             F.lit(SEEN_AT).alias("ingested_at"),
         )
 
+    def frames_unplaced(self) -> LedgerFrames:
+        """As ``frames`` with outputs that lack their block columns, hence without a join."""
+        return LedgerFrames(self.blocks, self.transactions, self.tx_in, self.line_outputs())
+
     def frames(self) -> LedgerFrames:
         return LedgerFrames(self.blocks, self.transactions, self.tx_in, self.tx_out)
 
