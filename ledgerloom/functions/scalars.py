@@ -36,7 +36,8 @@ def utc_wall_clock(epoch_seconds: Column | str) -> Column:
 
 
 def wire_timestamp(ts: Column | str) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss")
+    """Whole seconds of a zone-less timestamp as text; free of the session zone."""
+    return F.substring(_col(ts).cast("string"), 1, 19)
 
 
 def default_if_missing(c: Column | str, default: str | int) -> Column:
@@ -45,8 +46,10 @@ def default_if_missing(c: Column | str, default: str | int) -> Column:
 
 def ingest_stamp() -> Column:
     """Processing time as ISO-8601 UTC text, one value per query execution."""
-    now = F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), F.expr(_EPOCH))
-    return F.concat(F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    micros = F.unix_micros(F.current_timestamp())
+    now = wire_timestamp(F.timestamp_add("MICROSECOND", micros, F.expr(_EPOCH)))
+    fraction = F.lpad((micros % 1000000).cast("string"), 6, "0")
+    return F.concat(F.replace(now, F.lit(" "), F.lit("T")), F.lit("."), fraction, F.lit("+00:00"))
 
 
 def parse_iso_timestamp(text: Column | str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom import functions as L
 from ledgerloom.operators.sequences import BAND_WIDTH, lag_by_number, running_sum
 from ledgerloom.schemas import ZERO_HASH
 
@@ -86,7 +87,7 @@ def tip_freshness(blocks: DataFrame, as_of: Column) -> DataFrame:
                         F.max("block_timestamp").alias("_at"))
     age = F.timestamp_diff("SECOND", F.col("_at"), as_of)
     return newest.select(
-        "tip_height", F.date_format("_at", "yyyy-MM-dd HH:mm:ss").alias("tip_time"),
+        "tip_height", L.wire_timestamp("_at").alias("tip_time"),
         age.alias("age_seconds"), (age < MAX_TIP_AGE_SECONDS).alias("fresh"))
 
 

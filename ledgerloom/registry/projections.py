@@ -106,7 +106,8 @@ def route_topics(spark: SparkSession, sf: str) -> DataFrame:
 def parse_iso_ts(spark: SparkSession, sf: str) -> DataFrame:
     """Event times written in five ways, one of them unreadable."""
     events = Workspace(spark, sf).views.table("events")
-    form, base = F.col("event_id") % 5, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    form, base = F.col("event_id") % 5, F.replace(
+        L.wire_timestamp("ts"), F.lit(" "), F.lit("T"))
     text = (F.when(form == 0, F.concat(base, F.lit("Z")))
             .when(form == 1, F.concat(base, F.lit("+00:00")))
             .when(form == 2, base)

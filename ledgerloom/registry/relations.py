@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom import functions as L
 from ledgerloom.operators import counts, health, validate
 from ledgerloom.operators.dedupe import dedupe_identity, latest_per_key
 from ledgerloom.operators.normalize import LedgerFrames
 from ledgerloom.plans import finality, flat
 from ledgerloom.registry.scans import FLAT_LIGHT
 from ledgerloom.registry.sql import ledger
-from ledgerloom.registry.workspace import Workspace, stamped
+from ledgerloom.registry.workspace import Workspace
 from ledgerloom.schemas import KINDS
 from ledgerloom.sources import history
 from ledgerloom.sources.views import SEEN_AT, LedgerViews
@@ -41,7 +42,7 @@ def flat_text(df: DataFrame) -> DataFrame:
     """Flat rows with arrays and times as text."""
     return df.select(
         "txid", _wide("block_height"), "block_hash",
-        F.date_format("block_timestamp", "yyyy-MM-dd HH:mm:ss").alias("block_timestamp"),
+        L.wire_timestamp("block_timestamp").alias("block_timestamp"),
         _wide("nTime"), _wide("tx_version"), "lockTime", _wide("input_count"),
         _joined("inputs", _IN), _wide("output_count"), "total_output_value",
         _joined("outputs", _OUT), "finality_status")

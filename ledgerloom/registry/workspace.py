@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom import functions as L
 from ledgerloom import storage
 from ledgerloom.operators.normalize import LedgerFrames, to_messages
 from ledgerloom.schemas import KINDS
 from ledgerloom.sources import documents, topics
 from ledgerloom.sources.lake import Lake
-from ledgerloom.sources.views import SEEN_AT, LedgerViews
+from ledgerloom.sources.views import LedgerViews
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -81,7 +82,7 @@ def wire_frames(frames: LedgerFrames) -> LedgerFrames:
         for field in KINDS[table].wire_schema.fields[1:]:
             c = F.col(field.name)
             if field.name == "block_timestamp":
-                c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+                c = L.wire_timestamp(c)
             out.append(c.cast(field.dataType).alias(field.name))
         return df.select(*out)
 
@@ -90,8 +91,7 @@ def wire_frames(frames: LedgerFrames) -> LedgerFrames:
 
 def text_of(column: str):
     c = F.col(column)
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss") if column == "block_timestamp" else c.cast(
-        "string")
+    return L.wire_timestamp(c) if column == "block_timestamp" else c.cast("string")
 
 
 def fingerprint(columns):
@@ -112,8 +112,3 @@ def summary(frames: LedgerFrames) -> DataFrame:
         out = part if out is None else out.unionByName(part)
     return out
 
-
-def stamped(frames: LedgerFrames, at: str = SEEN_AT) -> LedgerFrames:
-    return LedgerFrames(**{
-        t: f.withColumn("observed_at", F.lit(at)).withColumn("ingested_at", F.lit(at))
-        for t, f in frames.items()})

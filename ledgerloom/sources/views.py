@@ -234,7 +234,8 @@ class LedgerViews:
             height.alias("height"),
             F.when(kind == "error", REORGED).when(kind == "view", "INVALID")
             .otherwise(CONFIRMED).alias("finality_status"),
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+            F.concat(F.replace(L.wire_timestamp("ts"), F.lit(" "), F.lit("T")), F.lit("Z"))
+            .alias("timestamp"),
         )
 
     @property
