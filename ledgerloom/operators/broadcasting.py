@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BLOCKS = 2_000_000  # narrow block rows; some 40 years of chain
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -104,4 +104,4 @@ def topic_lag(stream: DataFrame, committed: DataFrame) -> DataFrame:
 def missing_ids(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     """Expected keys that are not there."""
     return (expected.select(key).distinct()
-            .join(actual.select(key), key, "left_anti"))
+            .join(actual.select(key).distinct(), key, "left_anti"))

@@ -35,7 +35,8 @@ def norm_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def norm_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    return _normalized(spark, sf).transactions.drop(*_STAMPS)
+    txs = dedupe_identity(_normalized(spark, sf).transactions, "transactions")
+    return txs.drop(*_STAMPS)
 
 
 def norm_tx_in(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,7 +88,7 @@ def ingest_stamp(spark: SparkSession, sf: str) -> DataFrame:
     """Records of one run, its distinct stamps, and those of the ISO form."""
     frames = normalize(Workspace(spark, sf).documents())
     iso = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00$"
-    return frames.transactions.agg(
+    return frames.tx_in.agg(
         F.count("*").alias("records"), F.count_distinct("observed_at").alias("stamps"),
         F.count_if(F.col("observed_at").rlike(iso)).alias("well_formed"),
         F.count_if(F.col("observed_at") == F.col("ingested_at")).alias("same"))

@@ -20,8 +20,9 @@ from ledgerloom.sources.views import SEEN_AT
 
 def block_source(spark: SparkSession, sf: str) -> DataFrame:
     docs = Workspace(spark, sf).documents()
+    whole = F.filter("tx", lambda t: F.size(t["vin"]) > 0)
     return docs.groupBy("height", F.col("hash").alias("block_hash")).agg(
-        F.sum(F.size("tx")).alias("txs"))
+        F.sum(F.size(whole)).alias("txs"))
 
 
 def publish_keyed(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,7 +157,8 @@ def inspect_block(spark: SparkSession, sf: str) -> DataFrame:
 def dry_run_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Normalised without any sink; only counts come back."""
     frames = normalize(Workspace(spark, sf).documents(), SEEN_AT)
-    once = LedgerFrames(dedupe_identity(frames.blocks, "blocks"), frames.transactions,
+    once = LedgerFrames(dedupe_identity(frames.blocks, "blocks"),
+                        dedupe_identity(frames.transactions, "transactions"),
                         frames.tx_in, frames.tx_out)
     return counts.table_counts(once)
 

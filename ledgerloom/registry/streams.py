@@ -17,7 +17,7 @@ from ledgerloom.registry.workspace import (
     summary,
     wire_frames,
 )
-from ledgerloom.schemas import KINDS
+from ledgerloom.schemas import BATCH_COL, KINDS
 from ledgerloom.sources import topics
 from ledgerloom.sources.documents import parse_documents, stream_documents
 from ledgerloom.sources.lake import Lake
@@ -91,13 +91,15 @@ def catchup_range(spark: SparkSession, sf: str) -> DataFrame:
                    observed_at=SEEN_AT, batch_id="first")
     ingest.catchup(docs, lake, overlap=10, observed_at=SEEN_AT, batch_id="second")
     out = None
-    for table in KINDS:
-        rows = lake.read(table)
-        height = F.max(KINDS[table].height_col).cast("bigint").alias("top_height")
-        raw = rows.agg(F.count("*").alias("raw_rows"), height)
-        once = dedupe_identity(rows, table).agg(F.count("*").alias("distinct_rows")).scalar()
-        part = raw.select(F.lit(table).alias("table_name"), "raw_rows",
-                          once.alias("distinct_rows"), "top_height")
+    for table, kind in KINDS.items():
+        twice = (lake.scan(table).groupBy(kind.height_col)
+                 .agg(F.count_distinct(BATCH_COL).alias("batches")))
+        seam = twice.agg(F.count_if(F.col("batches") > 1).alias("replayed_heights"),
+                         F.max(kind.height_col).cast("bigint").alias("top_height"))
+        once = (dedupe_identity(lake.read(table), table)
+                .agg(F.count("*").alias("distinct_rows")).scalar())
+        part = seam.select(F.lit(table).alias("table_name"), "replayed_heights",
+                           once.alias("distinct_rows"), "top_height")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -227,8 +229,8 @@ ORACLES = {
     "stream_replay_safe": _SUMMARY,
     "stream_resume": _SUMMARY,
     "catchup_range": ledger(" UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) + count(*) FILTER (WHERE {k.height_col} "
-        f"BETWEEN last - 9 AND last) AS raw_rows, (SELECT count(*) FROM (SELECT DISTINCT "
+        f"SELECT '{t}' AS table_name, count(DISTINCT {k.height_col}) FILTER "
+        f"(WHERE {k.height_col} BETWEEN last - 9 AND last) AS replayed_heights, (SELECT count(*) FROM (SELECT DISTINCT "
         f"{', '.join(k.key)} FROM {t}) u) AS distinct_rows, "
         f"CAST(max({k.height_col}) AS BIGINT) AS top_height FROM {t}, stopped"
         for t, k in KINDS.items()), *_ALL,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import functions as L
+from ledgerloom.operators.broadcasting import MAX_BROADCAST_BLOCKS, broadcast_if_small
 from ledgerloom.operators.conform import conform
 from ledgerloom.operators.normalize import LedgerFrames
 from ledgerloom.schemas import CONFIRMED, KINDS
@@ -57,13 +58,15 @@ def from_history(spark: SparkSession, root: str, loaded_at: str, sep: str = ";",
         "*", when, *stamps, F.lit(status).alias("finality_status"))
     placed = raw["blocks"].select(F.col("block_hash").alias("hashBlock"),
                                   F.col("height").alias("block_height"), when)
-    transactions = raw["transactions"].join(placed, "hashBlock").select(
+    transactions = raw["transactions"].join(
+        broadcast_if_small(placed, MAX_BROADCAST_BLOCKS), "hashBlock").select(
         *history_columns("transactions"), "block_height", "block_timestamp", *stamps)
     owner = transactions.select("txid", F.col("hashBlock").alias("block_hash"), "block_height")
     tx_in = raw["tx_in"].join(owner, "txid").select(
         *history_columns("tx_in"), "block_hash", "block_height", *stamps)
     at_height = raw["blocks"].select("height", "block_hash", when)
-    tx_out = raw["tx_out"].join(at_height, "height").select(
+    tx_out = raw["tx_out"].join(
+        broadcast_if_small(at_height, MAX_BROADCAST_BLOCKS), "height").select(
         *history_columns("tx_out"), "block_hash", "block_timestamp", *stamps)
     frames = {"blocks": blocks, "transactions": transactions, "tx_in": tx_in, "tx_out": tx_out}
     return LedgerFrames(**{t: conform(df, KINDS[t]) for t, df in frames.items()})

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import functions as L
+from ledgerloom.operators.broadcasting import broadcast_if_small
 from ledgerloom.operators.normalize import LedgerFrames
 from ledgerloom.operators.sequences import lag_in_key
-from ledgerloom.operators.skew import join_many_to_one
+from ledgerloom.operators.skew import HOT_ROWS, hot_keys, join_many_to_one
 from ledgerloom.schemas import (
     COINBASE_INDEX,
     CONFIRMATIONS,
@@ -32,6 +33,7 @@ NBITS_HEX = "1d00ffff"
 NONCE_STEP = 2654435761
 CONTROL_HEIGHTS = 2405
 TXS_PER_DOCUMENT = 4096
+MAX_DAYS = 2_000_000
 
 
 class LedgerViews:
@@ -170,14 +172,15 @@ class LedgerViews:
         """Block documents as typed rows, a block's transactions nested below its header.
 
         A day with very many orders yields several documents with the same
-        header, each holding a bounded share of the transactions; the block
-        rows they repeat are identical and fall to the identity dedupe.
+        header, each holding a bounded share of the transactions. An order with
+        very many lines appears in several of them, with its inputs in one only.
+        The rows this repeats are identical and fall to the identity dedupe.
         """
         tx = self._nested_transactions()
         day_sizes = (self._orders().groupBy("h").agg(F.count("*").alias("n"))
                      .select("h", F.ceil(F.col("n") / TXS_PER_DOCUMENT).alias("parts")))
-        part = F.pmod(F.xxhash64("tx.txid"), F.col("parts"))
-        nested = (tx.join(day_sizes, "h").withColumn("part", part)
+        part = F.pmod(F.xxhash64("tx.txid", F.size("tx.vout"), F.size("tx.vin")), F.col("parts"))
+        nested = (tx.join(broadcast_if_small(day_sizes, MAX_DAYS), "h").withColumn("part", part)
                   .groupBy("h", "part").agg(F.collect_list("tx").alias("tx")))
         h = F.col("h")
         return nested.select(
@@ -201,7 +204,7 @@ class LedgerViews:
             F.struct(F.col("scriptPubKey").alias("hex"),
                      F.when(F.col("address") != "", F.col("address")).alias("address"))
             .alias("scriptPubKey"))
-        outputs = self.line_outputs().groupBy("txid").agg(F.collect_list(vout).alias("vout"))
+        outputs = self._in_pieces(self.line_outputs(), vout)
         minted = F.col("hashPrevOut") == ZERO_HASH
         vin = F.struct(
             F.when(minted, F.col("scriptSig")).alias("coinbase"),
@@ -214,10 +217,31 @@ class LedgerViews:
             "txid", F.col("block_height").alias("h"),
             F.col("version").cast("bigint").alias("version"), F.col("lockTime").alias("locktime"))
         joined = heads.join(inputs, "txid", "left").join(outputs, "txid", "left")
-        vouts = F.coalesce(F.col("vout"), F.from_json(
-            F.lit("[]"), outputs.schema["vout"].dataType.simpleString()))
-        return joined.select(
-            "h", F.struct("txid", "version", "locktime", "vin", vouts.alias("vout")).alias("tx"))
+        vouts = F.coalesce(F.col("vout"), F.array().cast(outputs.schema["vout"].dataType))
+        vins = F.when(F.coalesce("piece", F.lit(0)) == 0, F.col("vin")).otherwise(
+            F.array().cast(inputs.schema["vin"].dataType))
+        return joined.select("h", F.struct(
+            "txid", "version", "locktime", vins.alias("vin"), vouts.alias("vout")).alias("tx"))
+
+    def _in_pieces(self, lines: DataFrame, vout: Column) -> DataFrame:
+        """(txid, piece, vout): one piece 0 per ordinary order.
+
+        The lines of a hot order are dealt out evenly over pieces 1, 2, ...; its
+        piece 0 stays empty and is the one the inputs go with.
+        """
+        hot, limit = hot_keys(lines, "txid", self.hot_rows), self.hot_rows or HOT_ROWS
+        if not hot:
+            return lines.groupBy("txid").agg(F.collect_list(vout).alias("vout")).select(
+                "txid", F.lit(0).alias("piece"), "vout")
+        pieces = F.create_map(*[F.lit(x) for txid, rows in hot.items()
+                                for x in (txid, max(2, 8 * rows // limit))])
+        mine = F.try_element_at(pieces, F.col("txid"))
+        piece = F.coalesce(F.floor(F.rand(5) * mine).cast("int") + 1, F.lit(0))
+        dealt = lines.withColumn("piece", piece).groupBy("txid", "piece").agg(
+            F.collect_list(vout).alias("vout"))
+        heads = self.spark.createDataFrame([(txid, 0) for txid in hot], "txid string, piece int")
+        return dealt.unionByName(heads.withColumn(
+            "vout", F.array().cast(dealt.schema["vout"].dataType)))
 
     # -- event streams -----------------------------------------------------
     @property

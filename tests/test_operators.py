@@ -186,3 +186,20 @@ def test_run_status(spark):
     checks = [(0, 0, True), (1, 0, True), (0, 1, False), (1, 1, True), (0, 2, False), (1, 2, False)]
     assert rows(health.run_status(checks_frame(spark, checks))) == [
         ("FAIL(1)", 1), ("FAIL(2)", 1), ("OK", 1)]
+
+
+def test_documents_of_hot_days_and_orders(spark, monkeypatch):
+    """Split documents normalise to the same records as whole ones."""
+    from ledgerloom.sources import views
+    sf = "/root/testdata/sf0.001"
+    whole = normalize(LedgerViews(spark, sf).documents(), STAMP)
+    monkeypatch.setattr(views, "TXS_PER_DOCUMENT", 1)
+    docs = LedgerViews(spark, sf, hot_rows=5).documents().cache()
+    assert docs.count() > docs.select("hash").distinct().count()
+    split = normalize(docs, STAMP)
+    assert split.transactions.count() > whole.transactions.count()
+    for table, frame in whole.items():
+        got = getattr(split, table)
+        if table in ("blocks", "transactions"):
+            got = dedupe_identity(got, table)
+        assert rows(got) == rows(frame), table
