@@ -118,8 +118,7 @@ def flat_refresh_status(spark: SparkSession, sf: str) -> DataFrame:
     """Control events change stored blocks; the flat table follows when asked to."""
     ws = Workspace(spark, sf)
     lake, made = ws.new_lake("refresh"), flat.FlatTable(spark, ws.new_dir("flat"), band_width=200)
-    for table, frame in ws.stored().items():
-        lake.append(table, frame, "load")
+    lake.append_all(ws.stored(), "load")
     flat.build_incremental(lake, made)
     finality.apply_finality(lake, ws.views.control)
     flat.build_incremental(lake, made, refresh_status=True)

@@ -62,9 +62,7 @@ class Workspace:
     def lake(self) -> Lake:
         """All four tables, loaded as one batch. Queries must not change it."""
         def load(path: str) -> None:
-            lake = Lake(self.spark, path)
-            for table, frame in self.views.frames().items():
-                lake.append(table, frame, "load")
+            Lake(self.spark, path).append_all(self.views.frames(), "load")
         return Lake(self.spark, self._once("lake", load))
 
     def new_lake(self, label: str) -> Lake:

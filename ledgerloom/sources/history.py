@@ -74,5 +74,4 @@ def from_history(spark: SparkSession, root: str, loaded_at: str, sep: str = ";",
 
 def backfill(spark: SparkSession, root: str, lake: Lake, loaded_at: str, sep: str = ";") -> None:
     """Load the dumps as one batch per table; a rerun replaces that batch."""
-    for table, frame in from_history(spark, root, loaded_at, sep).items():
-        lake.append(table, frame, BACKFILL_BATCH)
+    lake.append_all(from_history(spark, root, loaded_at, sep), BACKFILL_BATCH)

@@ -8,12 +8,14 @@ nothing else, which makes a retried or replayed append harmless.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import storage
+from ledgerloom.operators.normalize import LedgerFrames
 from ledgerloom.schemas import BATCH_COL, BUCKET_COL, KINDS, RAW_BUCKETS
 
 _LAYOUT = [T.StructField(BUCKET_COL, T.IntegerType()), T.StructField(BATCH_COL, T.StringType())]
@@ -41,6 +43,14 @@ class Lake:
                     .withColumn(BATCH_COL, F.lit(batch_id)))
         self._write(laid_out, self.path(table))
 
+    def append_all(self, frames: LedgerFrames, batch_id: str) -> None:
+        """Append to all four tables as one batch id; the four jobs run side by side."""
+        with ThreadPoolExecutor(max_workers=len(KINDS)) as pool:
+            jobs = [pool.submit(self.append, table, frame, batch_id)
+                    for table, frame in frames.items()]
+        for job in jobs:
+            job.result()
+
     def _write(self, laid_out: DataFrame, path: str) -> None:
         # The rebalance splits large buckets over many tasks and joins small
         # ones, so files come out near the advisory size at any volume.
