@@ -10,6 +10,7 @@ from ledgerloom.sources.history import backfill
 from ledgerloom.sources.lake import Lake
 from ledgerloom.streaming.ingest import (
     catchup,
+    publish,
     publish_documents,
     start_publish,
     start_raw_ingest,
@@ -18,6 +19,6 @@ from ledgerloom.streaming.ingest import (
 __all__ = [
     "FlatTable", "Lake", "LedgerFrames", "apply_finality", "backfill", "build_block",
     "build_flat", "build_incremental", "build_range", "build_session", "catchup",
-    "create_tables", "document_messages", "normalize", "publish_documents", "read_documents",
+    "create_tables", "document_messages", "normalize", "publish", "publish_documents", "read_documents",
     "start_publish", "start_raw_ingest", "stream_documents",
 ]

@@ -20,6 +20,7 @@ from ledgerloom.schemas import BATCH_COL, BUCKET_COL, KINDS, RAW_BUCKETS
 
 _LAYOUT = [T.StructField(BUCKET_COL, T.IntegerType()), T.StructField(BATCH_COL, T.StringType())]
 COMPACTED = "compacted"
+_ASIDE = "_replaced-"
 
 
 class Lake:
@@ -135,46 +136,62 @@ class Lake:
         return inside
 
     # -- maintenance -------------------------------------------------------
-    def compact(self, table: str, generation: str) -> dict[str, int]:
-        """Fold all batches of every bucket into one, as few files as the size allows.
-
-        The compacted copy is staged and counted; then each bucket folder is
-        swapped by rename. The replaced folders stay aside under a hidden name
-        until all swaps are done; the next run puts back what an interrupted
-        one left missing.
+    def compact(self, table: str, generation: str, everything: bool = False) -> dict[str, int]:
+        """Fold the batches of every bucket into one, in as few files as the size allows.
+
+        Batches compacted earlier are left alone unless ``everything`` is set,
+        so a regular run costs as much as what arrived since the last one. The
+        compacted copy is staged and counted; then folders are swapped by
+        rename, bucket by bucket. Replaced folders stay aside under a hidden
+        name until all swaps are done; the next run puts an interrupted one right.
         """
-        path = self.path(table)
-        self._put_back(path)
+        path, new_batch = self.path(table), f"{COMPACTED}-{generation}"
+        self._put_right(path)
         files_before = storage.data_file_count(self.spark, path)
-        staging = storage.new_dir(self.spark, f"compact-{table}")
         source = self.scan(table)
-        sorted_rows = (source.withColumn(BATCH_COL, F.lit(f"{COMPACTED}-{generation}"))
-                       .hint("rebalance", F.col(BUCKET_COL))
-                       .sortWithinPartitions(BUCKET_COL, KINDS[table].height_col))
-        (sorted_rows.write.option("compression", "zstd")
-         .partitionBy(BUCKET_COL, BATCH_COL).parquet(staging))
-        rows, staged = source.count(), self.spark.read.parquet(staging).count()
+        if not everything:
+            source = source.where(~F.col(BATCH_COL).startswith(f"{COMPACTED}-"))
+        staging = storage.new_dir(self.spark, f"compact-{table}")
+        (source.withColumn(BATCH_COL, F.lit(new_batch)).hint("rebalance", F.col(BUCKET_COL))
+         .sortWithinPartitions(BUCKET_COL, KINDS[table].height_col)
+         .write.option("compression", "zstd").partitionBy(BUCKET_COL, BATCH_COL).parquet(staging))
+        rows = source.count()
+        staged = self.spark.read.schema(source.schema).parquet(staging).count()
         if rows != staged:
             raise RuntimeError(f"{table}: staged {staged} rows for {rows}; table left as it was")
-        aside = f"{path}/_replaced-{generation}"
-        buckets = [n for n in storage.child_names(self.spark, staging)
-                   if n.startswith(f"{BUCKET_COL}=")]
-        for name in buckets:
-            storage.rename(self.spark, f"{path}/{name}", f"{aside}/{name}")
-            storage.rename(self.spark, f"{staging}/{name}", f"{path}/{name}")
+        aside = f"{path}/{_ASIDE}{generation}"
+        for bucket in self._buckets(staging):
+            for batch in storage.child_names(self.spark, f"{path}/{bucket}"):
+                if everything or not batch.startswith(f"{BATCH_COL}={COMPACTED}-"):
+                    storage.rename(self.spark, f"{path}/{bucket}/{batch}",
+                                   f"{aside}/{bucket}/{batch}")
+            storage.rename(self.spark, f"{staging}/{bucket}/{BATCH_COL}={new_batch}",
+                           f"{path}/{bucket}/{BATCH_COL}={new_batch}")
         storage.delete(self.spark, aside)
         storage.delete(self.spark, staging)
         self.spark.catalog.refreshByPath(path)
         return {"files_before": files_before,
                 "files_after": storage.data_file_count(self.spark, path)}
 
-    def _put_back(self, path: str) -> None:
+    def _buckets(self, path: str) -> list[str]:
+        return [n for n in storage.child_names(self.spark, path) if n.startswith(f"{BUCKET_COL}=")]
+
+    def _put_right(self, path: str) -> None:
+        """Finish or undo the swaps of an interrupted compaction.
+
+        A bucket that got its compacted folder is done; any other takes its
+        replaced folders back.
+        """
         for aside in storage.child_names(self.spark, path):
-            if not aside.startswith("_replaced-"):
+            if not aside.startswith(_ASIDE):
                 continue
-            for name in storage.child_names(self.spark, f"{path}/{aside}"):
-                if not storage.exists(self.spark, f"{path}/{name}"):
-                    storage.rename(self.spark, f"{path}/{aside}/{name}", f"{path}/{name}")
+            done = f"{BATCH_COL}={COMPACTED}-{aside[len(_ASIDE):]}"
+            for bucket in self._buckets(f"{path}/{aside}"):
+                if storage.exists(self.spark, f"{path}/{bucket}/{done}"):
+                    continue
+                for batch in storage.child_names(self.spark, f"{path}/{aside}/{bucket}"):
+                    storage.rename(self.spark, f"{path}/{aside}/{bucket}/{batch}",
+                                   f"{path}/{bucket}/{batch}")
             storage.delete(self.spark, f"{path}/{aside}")
 
 

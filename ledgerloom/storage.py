@@ -12,24 +12,25 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may do without the setting; it then gets a fresh
-    temporary folder, which is remembered in the session.
+    Only a local master may do without the setting; it then gets one fresh
+    temporary folder per application.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    configured = (spark.conf.get(CHECKPOINT_CONF, None)
+                  or spark.sparkContext.getConf().get(CHECKPOINT_CONF))
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="ledgerloom-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="ledgerloom-")
+    return _local_dirs[app]
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

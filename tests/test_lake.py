@@ -59,6 +59,31 @@ def test_compaction_keeps_rows_and_reduces_files(spark, folder, documents):
         "compacted-g1"}
 
 
+def test_compaction_leaves_older_generations_alone(spark, folder, documents):
+    lake = load(spark, folder, documents)
+    lake.compact("blocks", "g1")
+    old = {r.f for r in lake.scan("blocks").select(F.input_file_name().alias("f")).collect()}
+    more = conform(normalize(documents(chain(40)[30:]), STAMP).blocks, KINDS["blocks"])
+    lake.append("blocks", more, "late")
+    lake.compact("blocks", "g2")
+    new = {r.f for r in lake.scan("blocks").select(F.input_file_name().alias("f")).collect()}
+    assert old < new and lake.read("blocks").count() == 40
+    lake.compact("blocks", "g3", everything=True)
+    assert {r[0] for r in lake.scan("blocks").select(BATCH_COL).distinct().collect()} == {
+        "compacted-g3"}
+    assert lake.read("blocks").count() == 40
+
+
+def test_compaction_stopped_after_a_swap_is_finished(spark, folder, documents):
+    lake = load(spark, folder, documents)
+    before, path = rows(lake.read("blocks")), lake.path("blocks")
+    lake.compact("blocks", "g1")
+    bucket = next(n for n in storage.child_names(spark, path) if n.startswith("height_bucket="))
+    spark.range(3).write.parquet(f"{path}/_replaced-g1/{bucket}/ingest_batch=b0")
+    lake.compact("blocks", "g2")
+    assert rows(lake.read("blocks")) == before
+
+
 def test_interrupted_compaction_is_put_right(spark, folder, documents):
     lake = load(spark, folder, documents)
     before, path = rows(lake.read("blocks")), lake.path("blocks")
