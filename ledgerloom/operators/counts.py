@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,14 +21,6 @@ def table_counts(frames: LedgerFrames) -> DataFrame:
                    .select(F.lit(t).alias("table_name"), "row_count") for t, f in frames.items()])
 
 
-def counts_at_heights(frames: LedgerFrames, heights: Sequence[int]) -> DataFrame:
-    """Rows of each table at the given heights."""
-    wanted = [int(h) for h in heights]
-    return _stack([
-        f.where(F.col(KINDS[t].height_col).isin(wanted)).agg(F.count("*").alias("row_count"))
-        .select(F.lit(t).alias("table_name"), "row_count") for t, f in frames.items()])
-
-
 def block_record_counts(frames: LedgerFrames) -> DataFrame:
     """Transactions, inputs, outputs and all records of every block."""
     def per_height(table: str, name: str) -> DataFrame:

@@ -164,12 +164,7 @@ def count_by_heights(spark: SparkSession, sf: str) -> DataFrame:
     lake = Workspace(spark, sf).lake()
     newest = [r[0] for r in lake.read("blocks").select("height").orderBy(F.desc("height"))
               .limit(5).collect()]
-    out = None
-    for table in KINDS:
-        part = lake.read(table, heights=newest).agg(F.count("*").alias("row_count")).select(
-            F.lit(table).alias("table_name"), "row_count")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return lake.counts_at_heights(newest)
 
 
 def height_between(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import functions as L
 from ledgerloom.operators import counts, health, validate
-from ledgerloom.operators.dedupe import dedupe_identity, latest_per_key
+from ledgerloom.operators.dedupe import dedupe_identity, keep_latest, latest_per_key
 from ledgerloom.operators.normalize import LedgerFrames
 from ledgerloom.plans import finality, flat
 from ledgerloom.registry.scans import FLAT_LIGHT
@@ -85,7 +85,8 @@ def control_unmatched(spark: SparkSession, sf: str) -> DataFrame:
 
 def prevout_join(spark: SparkSession, sf: str) -> DataFrame:
     v = _views(spark, sf)
-    spent = validate.resolve_prevouts(v.tx_in, dedupe_identity(v.tx_out, "tx_out"))
+    once = keep_latest(v.line_outputs(), KINDS["tx_out"].key, [])
+    spent = validate.resolve_prevouts(v.tx_in, once)
     return spent.select("txid", "hashPrevOut", "indexPrevOut",
                         F.coalesce("prev_value", F.lit(-1)).alias("prev_value"),
                         F.coalesce("prev_address", F.lit("unresolved")).alias("prev_address"))
@@ -231,8 +232,11 @@ def dual_path_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_identity(spark: SparkSession, sf: str) -> DataFrame:
-    once = dedupe_identity(_views(spark, sf).tx_out, "tx_out")
-    return once.select("txid", _wide("indexOut"), _wide("height"), "value", "scriptPubKey",
+    """Copies collapse before the outputs meet their blocks."""
+    v = _views(spark, sf)
+    once = keep_latest(v.line_outputs(), KINDS["tx_out"].key, [])
+    placed = once.join(v.transactions.select("txid", F.col("block_height").alias("height")), "txid")
+    return placed.select("txid", _wide("indexOut"), _wide("height"), "value", "scriptPubKey",
                        "address")
 
 
