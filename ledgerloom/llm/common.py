@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,14 @@ from ledgerloom import storage
 MAX_BITS = 1 << 27  # a bit set sent to every executor never takes more than 16 MB
 BATCH_ROWS = 500
 
+MIX = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD)]
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+SPACES = np.zeros(256, bool)
+SPACES[[32, *range(9, 14)]] = True
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
@@ -87,3 +96,55 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         state = tuple(now)
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads close values."""
+    x = (x ^ (x >> np.uint64(31))) * MIX[0]
+    x = (x ^ (x >> np.uint64(29))) * MIX[1]
+    return x ^ (x >> np.uint64(32))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(max(n, 1), base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(buf: np.ndarray, offsets: np.ndarray,
+                separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of several texts, and where each text's words begin.
+
+    ``buf`` holds the texts' UTF-8 bytes end to end, ``separator`` marks the bytes
+    between words, and A-Z count as a-z. A word's hash is the difference of two
+    prefix sums, so it does not depend on where the word stands.
+    """
+    word = ~separator[buf]
+    first = np.zeros(len(buf) + 1, bool)
+    first[offsets] = True
+    start = np.flatnonzero(word & (first[:-1] | np.r_[True, ~word[:-1]]))
+    end = np.flatnonzero(word & (first[1:] | np.r_[~word[1:], True])) + 1
+    h = np.zeros(len(start), np.uint64)
+    block = 1 << 20  # words of so many bytes at a time share one table of powers
+    at = 0
+    while at < len(start):
+        upto = max(at + 1, int(np.searchsorted(end, start[at] + block, "right")))
+        lo, hi = start[at], end[upto - 1]
+        power = _powers(_BASE, hi - lo)
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum((_LOWER[buf[lo:hi]].astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
+        s, e = start[at:upto] - lo, end[at:upto] - lo
+        back = _powers(_INVERSE, hi - lo)
+        h[at:upto] = (sums[e] - sums[s]) * back[s]
+        at = upto
+    return mixed(h), np.searchsorted(start, offsets)
+
+
+def words_of(texts: pa.Array, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, and where each text's words begin (one more at the end)."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)
+    offsets = offsets[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return word_hashes(buf[offsets[0]:offsets[-1]], offsets - offsets[0], separator)

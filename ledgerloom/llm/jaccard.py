@@ -28,66 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import common
+from ledgerloom.llm.common import MIX as _MIX
+from ledgerloom.llm.common import mixed as _mix
 
 FREQUENT = 16     # an n-gram in more prefixes than this goes to the end of the order
 PARITY_LONGS = 16  # 1,024 parities of a set: their difference bounds the symmetric difference
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_MIX = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD)]
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(29))) * _MIX[1]
-    return x ^ (x >> np.uint64(32))
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-def word_hashes(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of several texts, and where each text's words begin.
-
-    ``buf`` holds the texts' UTF-8 bytes end to end; a word's hash is the
-    difference of two prefix sums, so it does not depend on where the word stands.
-    """
-    word = ~_SPACE[buf]
-    first = np.zeros(len(buf) + 1, bool)
-    first[offsets] = True
-    start = np.flatnonzero(word & (first[:-1] | np.r_[True, ~word[:-1]]))
-    end = np.flatnonzero(word & (first[1:] | np.r_[~word[1:], True])) + 1
-    h = np.zeros(len(start), np.uint64)
-    block = 1 << 20  # words of so many bytes at a time share one table of powers
-    at = 0
-    while at < len(start):
-        upto = max(at + 1, int(np.searchsorted(end, start[at] + block, "right")))
-        lo, hi = start[at], end[upto - 1]
-        power = _powers(_BASE, hi - lo)
-        sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((_LOWER[buf[lo:hi]].astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
-        s, e = start[at:upto] - lo, end[at:upto] - lo
-        back = _powers(_INVERSE, hi - lo)
-        h[at:upto] = (sums[e] - sums[s]) * back[s]
-        at = upto
-    return _mix(h), np.searchsorted(start, offsets)
-
-
 def shingle_sets(texts: pa.Array, ngram: int) -> Iterator[np.ndarray]:
     """Each text's set of n-gram hashes, sorted; a text of fewer words is one n-gram."""
-    texts = texts.cast(pa.large_string())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    data = texts.buffers()[2]
-    buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    buf = buf[offsets[0]:offsets[-1]]
-    words, begin = word_hashes(buf, offsets - offsets[0])
+    words, begin = common.words_of(texts, common.SPACES)
     grams = np.zeros(max(0, len(words) - ngram + 1), np.uint64)
     with np.errstate(over="ignore"):
         for k in range(ngram):

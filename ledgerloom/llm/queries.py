@@ -3,14 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import jaccard
-from ledgerloom.llm.common import read
+from ledgerloom.llm import jaccard, language, toxicity
+from ledgerloom.llm.common import in_fold, read
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), ~in_fold())
+    return (toxicity.score(docs, model, lang_col="lang")
+            .select("doc_id", in_fold().alias("held_out"), "score",
+                    F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "rejected"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(docs, ~in_fold())
+    return (language.predict(docs, model)
+            .select("doc_id", in_fold().alias("held_out"), "lang_pred", "score"))
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_jaccard_join)}
 ORACLES: dict[str, str] = {}
