@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import jaccard, language, toxicity
+from ledgerloom import storage
+from ledgerloom.llm import fingerprints, jaccard, language, sharding, toxicity
 from ledgerloom.llm.common import in_fold, read
 
 
@@ -28,5 +29,20 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_language, op3_jaccard_join)}
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards of near equal bytes: an even map, edited once by the bytes per slot."""
+    rows = sharding.sized(read(spark, sf_dir, "documents"))
+    slot_map = sharding.SlotMap.create(spark, storage.new_dir(spark, "slots"), 24)
+    version = slot_map.rebalance(sharding.bytes_per_slot(rows))
+    return (sharding.placed(rows, slot_map.read(version))
+            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                    F.lit(None).cast("int").alias("grown_shard"), "vslot"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_language, op3_jaccard_join, op8_sharding, op9_fingerprints)}
 ORACLES: dict[str, str] = {}
