@@ -3,7 +3,9 @@
 A document's set holds its distinct word n-grams. Two sets can only reach the
 similarity t if the first ``n - ceil(t n) + 1`` members of both, in one global
 order, have a member in common (prefix filter). The order puts rare n-grams
-first: n-grams found in more than ``FREQUENT`` prefixes come after all others.
+first: those counted more than ``LEVELS`` times come after all others, level by
+level. The counts take the prefixes of all documents, and then all members of
+the documents whose prefixes consist of frequent n-grams to a quarter or more.
 Length, positional and suffix filters thin out the candidates, and each
 remaining pair is verified once, on the full sets.
 
@@ -31,8 +33,9 @@ from ledgerloom.llm import common
 from ledgerloom.llm.common import MIX as _MIX
 from ledgerloom.llm.common import mixed as _mix
 
-FREQUENT = 16     # an n-gram in more prefixes than this goes to the end of the order
-PARITY_LONGS = 16  # 1,024 parities of a set: their difference bounds the symmetric difference
+LEVELS = (16, 128, 1024)  # an n-gram counted more often comes later in the order
+PARITY_LONGS = 16         # 1,024 parities of a set: their difference bounds the symmetric difference
+
 
 def shingle_sets(texts: pa.Array, ngram: int) -> Iterator[np.ndarray]:
     """Each text's set of n-gram hashes, sorted; a text of fewer words is one n-gram."""
@@ -93,21 +96,39 @@ def _signatures(ngram: int, percent: int):
     return run
 
 
-def _prefixes(ngram: int, percent: int, frequent, bits: int):
+def _level(grams: np.ndarray, late: list, mask: np.uint64) -> np.ndarray:
+    at = (grams & mask).astype(np.int64)
+    return sum(common.has_bit(bits, at).astype(np.int8) for bits in late)
+
+
+def _crowded(ngram: int, percent: int, late, bits: int):
+    """All members of the texts whose prefix is frequent to a quarter or more."""
+    mask = np.uint64(bits - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [np.zeros(0, np.uint64)]
+            for g in shingle_sets(b.column(0), ngram):
+                size = _prefix_sizes(len(g), percent)
+                if size and 4 * (_level(g[:size], late.value, mask) > 0).sum() >= size:
+                    out.append(g)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64))],
+                                             names=["gram"])
+    return run
+
+
+def _prefixes(ngram: int, percent: int, late, bits: int):
     mask = np.uint64(bits - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = frequent.value
         for b in batches:
             rows, prefix = [], []
             for i, g in enumerate(shingle_sets(b.column(1), ngram)):
                 if not len(g):
                     continue
-                common_one = common.has_bit(late, (g & mask).astype(np.int64))
-                size = _prefix_sizes(len(g), percent)
-                rare = g[~common_one][:size]
+                order = np.argsort(_level(g, late.value, mask), kind="stable")
                 rows.append(i)
-                prefix.append(np.concatenate([rare, g[common_one][:size - len(rare)]]))
+                prefix.append(g[order[:_prefix_sizes(len(g), percent)]])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(rows, pa.int64())), _lists(prefix)],
                 names=["doc_id", "prefix"])
@@ -133,6 +154,7 @@ class JaccardJoin:
         self.spark = docs.sparkSession
         common.small_batches(self.spark)
         self.ngram, self.percent = ngram, percent
+        self.frequent: DataFrame | None = None
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                                 F.col(text_col).alias("text")).where("doc_id is not null")
         self.signed = common.written(self.docs.mapInArrow(
@@ -143,14 +165,25 @@ class JaccardJoin:
             .join(self.signed.select(F.col("doc_id").alias("first"), "n", "parity"), "first")
             .dropDuplicates(["node"]), "nodes")
 
+    def _late(self, grams: DataFrame):
+        """Bit sets of the n-grams known to be beyond each level, and how many bits each has."""
+        counts = grams.groupBy("gram").count().where(F.col("count") > LEVELS[0])
+        if self.frequent is not None:
+            counts = counts.union(self.frequent)
+        self.frequent = common.written(counts.groupBy("gram").agg(
+            F.max("count").alias("count")), "frequent")
+        bits = common.bits_for(self.frequent.count())
+        at = F.col("gram").bitwiseAND(bits - 1).alias("at")
+        sets = [common.bit_set(self.frequent.where(F.col("count") > n).select(at), "at", bits)
+                for n in LEVELS]
+        return self.spark.sparkContext.broadcast(sets), bits
+
     def _postings(self) -> DataFrame:
         """(gram, node, n, pos, leader) for every n-gram in the prefixes of two nodes or more."""
-        grams = self.signed.select(F.explode("prefix").alias("gram"))
-        frequent = common.written(grams.groupBy("gram").count().where(F.col("count") > FREQUENT)
-                                  .select("gram"), "frequent")
-        bits = common.bits_for(frequent.count())
-        late = self.spark.sparkContext.broadcast(common.bit_set(
-            frequent.select(F.col("gram").bitwiseAND(bits - 1).alias("at")), "at", bits))
+        late, bits = self._late(self.signed.select(F.explode("prefix").alias("gram")))
+        members = self.docs.select("text").mapInArrow(
+            _crowded(self.ngram, self.percent, late, bits), "gram long")
+        late, bits = self._late(members)
         prefixes = self.docs.mapInArrow(_prefixes(self.ngram, self.percent, late, bits),
                                         "doc_id long, prefix array<long>")
         keys = self.nodes.select(F.col("first").alias("doc_id"), "node", "n")
@@ -203,7 +236,9 @@ class JaccardJoin:
         rows = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         rows = common.written(rows.join(mixed.where("lo < hi").select("gram"), "gram"), "mixed")
-        groups = rows.select("gram", F.col("root").alias("other")).distinct()
+        groups = (rows.groupBy("gram", F.col("root").alias("other"))
+                  .agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0"),
+                       F.max("pos").alias("p1")))
         left = rows.select("gram", "root", F.col("node").alias("a"), F.col("n").alias("an"),
                            F.col("pos").alias("ap"))
         right = rows.select("gram", F.col("root").alias("other"), F.col("node").alias("b"),
@@ -211,7 +246,12 @@ class JaccardJoin:
         least = F.ceil(F.lit(t) * (F.col("an") + F.col("bn")) / (100 + t))
         most = (F.least("ap", "bp") + 1
                 + F.least(F.col("an") - F.col("ap") - 1, F.col("bn") - F.col("bp") - 1))
-        return (left.join(groups, "gram").where("root < other").join(right, ["gram", "other"])
+        near = ((100 * F.col("an") >= t * F.col("n0")) & (100 * F.col("n1") >= t * F.col("an"))
+                & (F.least("ap", "p1") + F.least(F.col("an") - F.col("ap"), F.col("n1") - F.col("p0"))
+                   >= F.ceil(F.lit(t) * (F.col("an") + F.col("n0")) / (100 + t))))
+        return (left.join(groups, (left["gram"] == groups["gram"]) & (F.col("root") < F.col("other"))
+                          & near)
+                .drop(groups["gram"]).join(right, ["gram", "other"])
                 .where((100 * F.least("an", "bn") >= t * F.greatest("an", "bn")) & (most >= least))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
