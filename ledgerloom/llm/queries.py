@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import storage
-from ledgerloom.llm import fingerprints, jaccard, language, sharding, toxicity
+from ledgerloom.llm import bpe, fingerprints, jaccard, language, sharding, toxicity
 from ledgerloom.llm.common import in_fold, read
 
 
@@ -29,6 +30,16 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(read(spark, sf_dir, "documents"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str,
+            tokenizer: str = public_tokenizers.path("word_bpe_49k.json")) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    codec = bpe.Codec(tokenizer).with_lexicon(bpe.frequent_words(docs))
+    coded = bpe.encode_decode(docs, codec)
+    return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """24 shards of near equal bytes: an even map, edited once by the bytes per slot."""
     rows = sharding.sized(read(spark, sf_dir, "documents"))
@@ -44,5 +55,5 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_language, op3_jaccard_join, op8_sharding, op9_fingerprints)}
+    op1_toxicity, op2_language, op3_jaccard_join, op4_bpe, op8_sharding, op9_fingerprints)}
 ORACLES: dict[str, str] = {}
