@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import storage
-from ledgerloom.llm import bpe, fingerprints, jaccard, language, sharding, toxicity
+from ledgerloom.llm import bpe, fingerprints, html, jaccard, language, sharding, toxicity
 from ledgerloom.llm.common import in_fold, read
 
 
@@ -54,6 +54,12 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html.extract(read(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_language, op3_jaccard_join, op4_bpe, op8_sharding, op9_fingerprints)}
+    op1_toxicity, op2_language, op3_jaccard_join, op4_bpe, op8_sharding, op9_fingerprints,
+    op10_html)}
 ORACLES: dict[str, str] = {}
