@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import storage
-from ledgerloom.llm import bpe, fingerprints, html, jaccard, language, sharding, toxicity
+from ledgerloom.llm import bpe, fingerprints, html, jaccard, language, sharding, toxicity, vectors
 from ledgerloom.llm.common import in_fold, read
 
 
@@ -40,6 +40,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str,
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """24 shards of near equal bytes: an even map, edited once by the bytes per slot."""
     rows = sharding.sized(read(spark, sf_dir, "documents"))
@@ -60,6 +64,6 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_language, op3_jaccard_join, op4_bpe, op8_sharding, op9_fingerprints,
+    op1_toxicity, op2_language, op3_jaccard_join, op4_bpe, op6_near_vectors, op8_sharding, op9_fingerprints,
     op10_html)}
 ORACLES: dict[str, str] = {}
