@@ -111,6 +111,15 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def _bounds(buf: np.ndarray, offsets: np.ndarray,
+            separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    word = ~separator[buf]
+    first = np.zeros(len(buf) + 1, bool)
+    first[offsets] = True
+    start = np.flatnonzero(word & (first[:-1] | np.r_[True, ~word[:-1]]))
+    return start, np.flatnonzero(word & (first[1:] | np.r_[~word[1:], True])) + 1
+
+
 def word_hashes(buf: np.ndarray, offsets: np.ndarray,
                 separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of several texts, and where each text's words begin.
@@ -119,11 +128,7 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray,
     between words, and A-Z count as a-z. A word's hash is the difference of two
     prefix sums, so it does not depend on where the word stands.
     """
-    word = ~separator[buf]
-    first = np.zeros(len(buf) + 1, bool)
-    first[offsets] = True
-    start = np.flatnonzero(word & (first[:-1] | np.r_[True, ~word[:-1]]))
-    end = np.flatnonzero(word & (first[1:] | np.r_[~word[1:], True])) + 1
+    start, end = _bounds(buf, offsets, separator)
     h = np.zeros(len(start), np.uint64)
     block = 1 << 20  # words of so many bytes at a time share one table of powers
     at = 0
@@ -140,11 +145,39 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray,
     return mixed(h), np.searchsorted(start, offsets)
 
 
-def words_of(texts: pa.Array, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, and where each text's words begin (one more at the end)."""
+def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     texts = texts.cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)
     offsets = offsets[texts.offset:texts.offset + len(texts) + 1]
+    if not len(offsets):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     data = texts.buffers()[2]
     buf = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return word_hashes(buf[offsets[0]:offsets[-1]], offsets - offsets[0], separator)
+    return buf[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def words_of(texts: pa.Array, separator: np.ndarray, marks: np.ndarray | None = None):
+    """Hashes of all words of the texts, and where each text's words begin (one more at the end).
+
+    With ``marks``, also which words hold one of the marked bytes.
+    """
+    buf, offsets = _bytes_of(texts)
+    hashes, begin = word_hashes(buf, offsets, separator)
+    return (hashes, begin) if marks is None else (hashes, begin, _hold(
+        buf, offsets, separator, marks[buf]))
+
+
+def words_with(texts: pa.Array, separator: np.ndarray, part: str) -> np.ndarray:
+    """Which words hold ``part``, ASCII without separators."""
+    buf, offsets = _bytes_of(texts)
+    raw = part.encode()
+    at = np.ones(max(0, len(buf) - len(raw) + 1), bool)
+    for k, c in enumerate(raw):
+        at &= buf[k:len(buf) - len(raw) + 1 + k] == c
+    return _hold(buf, offsets, separator, np.r_[at, np.zeros(len(buf) - len(at), bool)])
+
+
+def _hold(buf, offsets, separator, here: np.ndarray) -> np.ndarray:
+    start, end = _bounds(buf, offsets, separator)
+    sums = np.r_[0, np.cumsum(here)]
+    return sums[end] > sums[start]

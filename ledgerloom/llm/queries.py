@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import storage
-from ledgerloom.llm import bpe, fingerprints, html, jaccard, language, sharding, toxicity, vectors
+from ledgerloom.llm import (bpe, fingerprints, html, jaccard, language, lines, packing, sharding,
+                            toxicity, vectors)
 from ledgerloom.llm.common import in_fold, read
 
 
@@ -40,10 +41,19 @@ def op4_bpe(spark: SparkSession, sf_dir: str,
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedupe_lines(docs)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """24 shards of near equal bytes: an even map, edited once by the bytes per slot."""
     rows = sharding.sized(read(spark, sf_dir, "documents"))
@@ -64,6 +74,6 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_language, op3_jaccard_join, op4_bpe, op6_near_vectors, op8_sharding, op9_fingerprints,
-    op10_html)}
+    op1_toxicity, op2_language, op3_jaccard_join, op4_bpe, op5_packing, op6_near_vectors,
+    op7_line_dedup, op8_sharding, op9_fingerprints, op10_html)}
 ORACLES: dict[str, str] = {}
