@@ -10,8 +10,9 @@ Length, positional and suffix filters thin out the candidates, and each
 remaining pair is verified once, on the full sets.
 
 Copies of one set are one node, however many there are. In each n-gram's list
-the node with the smallest key is compared with all others first; after that
-only nodes of different components are still paired, so a large group of near
+the node that has it earliest, with the fewest rare n-grams of its own, is
+compared with all others first: the text that near copies were made of is the
+nearest to each of them. After that only nodes of different components are still paired, so a large group of near
 copies costs its size and not its square, and no link between components is
 missed.
 
@@ -179,7 +180,7 @@ class JaccardJoin:
         return self.spark.sparkContext.broadcast(sets), bits
 
     def _postings(self) -> DataFrame:
-        """(gram, node, n, pos, leader) for every n-gram in the prefixes of two nodes or more."""
+        """(gram, node, n, pos, least) for every n-gram in the prefixes of two nodes or more."""
         late, bits = self._late(self.signed.select(F.explode("prefix").alias("gram")))
         members = self.docs.select("text").mapInArrow(
             _crowded(self.ngram, self.percent, late, bits), "gram long")
@@ -189,7 +190,7 @@ class JaccardJoin:
         keys = self.nodes.select(F.col("first").alias("doc_id"), "node", "n")
         index = (prefixes.join(keys, "doc_id").dropDuplicates(["node"])
                  .select("node", "n", F.posexplode("prefix").alias("pos", "gram")))
-        shared = (index.groupBy("gram").agg(F.min("node").alias("leader"), F.count("*").alias("c"))
+        shared = (index.groupBy("gram").agg(F.min("pos").alias("least"), F.count("*").alias("c"))
                   .where("c > 1").drop("c"))
         return common.written(index.join(shared, "gram"), "postings")
 
@@ -230,7 +231,9 @@ class JaccardJoin:
         """Pairs in one n-gram's list whose nodes are in different components so far.
 
         Lists of one component drop out by an aggregate; in the others a node is
-        matched with the list's other components first and only then with nodes.
+        matched with the list's other components first and only then with nodes. All
+        n-grams both prefixes share are counted: behind the prefix that ends first, only
+        that text's other n-grams can still agree.
         """
         t = self.percent
         rows = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -253,12 +256,15 @@ class JaccardJoin:
                           & near)
                 .drop(groups["gram"]).join(right, ["gram", "other"])
                 .where((100 * F.least("an", "bn") >= t * F.greatest("an", "bn")) & (most >= least))
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+                .groupBy("a", "b", "an", "bn").agg(F.count("*").alias("k"))
+                .where(F.col("k") + F.ceil(F.lit(t) * F.greatest("an", "bn") / 100) - 1 >= least)
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified links that hold every component together, and (node, root)."""
         postings = self._postings()
-        star = (postings.where("node != leader")
+        leaders = postings.where("pos = least").groupBy("gram").agg(F.min("node").alias("leader"))
+        star = (postings.join(leaders, "gram").where("node != leader")
                 .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
         star = common.written(star, "star")
         found = self._verified(star)
