@@ -98,7 +98,7 @@ def merge_array(state: tuple, words: list[str]) -> _Lists:
     """Ids of many words, all merged side by side; ``state`` holds the merge tables."""
     first, last, keys, ranks, made = state
     raw = [w.encode() for w in words]
-    size = np.array([len(r) for r in raw])
+    size = np.array([len(r) for r in raw], np.int64)
     buf = np.frombuffer(b"".join(raw), np.uint8)
     ends = np.cumsum(size)
     sym = first[buf]
@@ -390,5 +390,7 @@ def encode_decode(docs: DataFrame, codec: Codec, text_col: str = "text", ids: st
             names=["ids", "decoded"])
 
     kept = [c for c in docs.columns if c not in (ids, decoded)]
-    done = docs.select(*kept, run(F.col(text_col)).alias("_coded"))
-    return done.select(*kept, F.col("_coded.ids").alias(ids), F.col("_coded.decoded").alias(decoded))
+    (coded,) = common.unused(docs, "_coded")
+    done = docs.select(*kept, run(F.col(text_col)).alias(coded))
+    return done.select(*kept, F.col(coded)["ids"].alias(ids),
+                       F.col(coded)["decoded"].alias(decoded))

@@ -39,6 +39,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def in_fold(doc_id: str = "doc_id", fold: int = 2):
     """Is crc32 of the id as text congruent to ``fold`` modulo 4? Rows without an id are not."""
     crc = F.crc32(F.col(doc_id).cast("string").cast("binary"))

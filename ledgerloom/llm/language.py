@@ -270,11 +270,12 @@ def predict(docs: DataFrame, m: Model | None, text_col: str = "text", lang: str
             names=["lang", "score"])
 
     kept = [c for c in docs.columns if c not in (lang, score)]
-    known = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_known")
-    done = docs.select(*kept, known, run(F.col(text_col)).alias("_best"))
+    letter, best = common.unused(docs, "_letter", "_best")
+    known = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias(letter)
+    done = docs.select(*kept, known, run(F.col(text_col)).alias(best))
     return done.select(
-        *kept, F.when(F.col("_known"), F.col("_best.lang")).otherwise(UNKNOWN).alias(lang),
-        F.when(F.col("_known"), F.col("_best.score")).otherwise(0.0).alias(score))
+        *kept, F.when(F.col(letter), F.col(best)["lang"]).otherwise(UNKNOWN).alias(lang),
+        F.when(F.col(letter), F.col(best)["score"]).otherwise(0.0).alias(score))
 
 
 def spans(text: str, m: Model) -> list[tuple[str, int]]:

@@ -13,8 +13,9 @@ A line's word count, leaf and parts are numbers, so the tree is a grouping: ever
 document sends each of its templates once, equal ones are summed before they are
 shuffled, and only templates that recur go back to their documents.
 
-Null texts stay null, and empty ones empty. Rows that repeat id and text are one
-document. Rows without an id are never the first. Columns of the result's names
+Null texts stay null, and empty ones empty. Rows that repeat id and text
+are one document when it is asked whether a line is anywhere else, and count as
+often as they come. Rows without an id are never the first. Columns of the result's names
 are replaced; all others pass through.
 """
 
@@ -120,6 +121,7 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with recurring lines dropped from their texts, and two counts."""
     common.small_batches(docs.sparkSession)
     doc = F.xxhash64(F.col(id_col), F.col(text_col))
+    at, keys, out = common.unused(docs, "_doc", "_keys", "_done")
     found = common.written(
         docs.where(F.col(text_col).isNotNull())
         .select(doc.alias("doc"), F.col(id_col).cast("long").alias("doc_id"),
@@ -133,10 +135,11 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  .select("key", "first"))
     drops = (found.select("doc", "doc_id", "key").join(recurring, "key")
              .where(~F.col("doc_id").eqNullSafe(F.col("first")))
-             .groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("key").alias("_keys")))
+             .groupBy(F.col("doc").alias(at)).agg(F.collect_set("key").alias(keys)))
     kept = [c for c in docs.columns if c not in (n_lines, n_dropped)]
-    marked = docs.select(*kept, doc.alias("_doc")).join(drops, "_doc", "left")
+    marked = docs.select(*kept, doc.alias(at)).join(drops, at, "left")
     done = marked.select(*kept, _without(F.col(text_col), F.coalesce(
-        "_keys", F.array().cast("array<long>"))).alias("_done"))
-    return done.select(*[F.col("_done.text").alias(c) if c == text_col else F.col(c) for c in kept],
-                       F.col("_done.lines").alias(n_lines), F.col("_done.dropped").alias(n_dropped))
+        keys, F.array().cast("array<long>"))).alias(out))
+    text = F.col(out)["text"].alias(text_col)
+    return done.select(*[text if c == text_col else F.col(c) for c in kept],
+                       F.col(out)["lines"].alias(n_lines), F.col(out)["dropped"].alias(n_dropped))

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import storage
+from ledgerloom.llm import common
 
 SLOTS = 8192
 RECORD_BYTES = 8       # what a record takes besides its text
@@ -183,10 +184,11 @@ def assign(docs: DataFrame, shard_map: DataFrame, id_col: str = "doc_id", text_c
     key = F.xxhash64(F.col(id_col), (F.octet_length(text) + F.lit(RECORD_BYTES)).cast("long"),
                      F.crc32(text.cast("binary")))
     kept = [c for c in docs.columns if c not in (vslot, shard)]
-    keyed = docs.select(*kept, F.pmod(key, F.lit(slots)).cast("int").alias("_v"))
-    looked = shard_map.select(F.col("vslot").alias("_v"), F.col("shard").alias("_s"))
-    return (keyed.join(F.broadcast(looked), "_v")  # at most SLOTS rows
-            .select(*kept, F.col("_v").alias(vslot), F.col("_s").alias(shard)))
+    v, s = common.unused(docs, "_vslot", "_shard")
+    keyed = docs.select(*kept, F.pmod(key, F.lit(slots)).cast("int").alias(v))
+    looked = shard_map.select(F.col("vslot").alias(v), F.col("shard").alias(s))
+    return (keyed.join(F.broadcast(looked), v)  # at most SLOTS rows
+            .select(*kept, F.col(v).alias(vslot), F.col(s).alias(shard)))
 
 
 def placed(rows: DataFrame, shard_map: DataFrame) -> DataFrame:
