@@ -24,8 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.llm import common
 
@@ -33,7 +35,7 @@ PRIME = (1 << 31) - 1
 BASES = (1_000_003 * 613 % PRIME, 48_271 * 7919 % PRIME)
 WINDOW = 16
 SKETCH = 40
-DIGITS = 12            # hexadecimal digits kept of a window's hash
+DIGITS = 10            # hexadecimal digits kept of a window's hash
 
 _power: list[np.ndarray] = [np.ones(1, np.uint64)] * 4  # of both bases and their inverses
 
@@ -148,12 +150,20 @@ def _batch(rows: list[tuple], kind: int, pid: int, texts: list) -> pa.RecordBatc
                    pa.array(texts, pa.string())], names=[*names, "kind", "pid", "whole"])
 
 
+@F.arrow_udf(T.BinaryType())
+def _compressed(texts: pa.Array) -> pa.Array:
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return pa.array([pack(x.encode()) for x in texts.to_pylist()], pa.binary())
+
+
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one ordered partition: finished ones (kind 0), its last (1) and its first (2)."""
     held, pid = None, None
+    unpack = zstandard.ZstdDecompressor().decompress
     for b in batches:
         out = []
-        for doc_id, text, part in zip(*(c.to_pylist() for c in b.columns)):
+        for doc_id, packed, part in zip(*(c.to_pylist() for c in b.columns)):
+            text = unpack(packed).decode()
             p = Prefix(text)
             now = (doc_id, text, p, fingerprint(p))
             if held is None:
@@ -181,16 +191,17 @@ def _at_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each row's fingerprint, that of its edited text, and the likenesses, as in the module's text.
 
-    Texts are shuffled once, into ranges of the id; only the first and last row of
+    Texts are shuffled once, compressed, into ranges of the id; only the first and last row of
     each range meet again, through a table in the shared folder.
     """
     common.small_batches(docs.sparkSession, 200)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text")).withColumn("u", F.monotonically_increasing_id())
+    rows = rows.select("doc_id", "h", "u", _compressed("text").alias("packed"))
     order = [F.desc_nulls_last("doc_id"), F.asc("h"), F.asc("u")]
     ranged = (rows.repartitionByRange(*order).sortWithinPartitions(*order)
-              .select("doc_id", "text", F.spark_partition_id().alias("pid")))
+              .select("doc_id", "packed", F.spark_partition_id().alias("pid")))
     found = common.written(ranged.mapInArrow(
         _in_order, f"{FIELDS}, kind int, pid int, whole string"), "fingerprints")
     heads = found.where("kind = 2").select("pid", F.col("whole").alias("following"))
