@@ -131,16 +131,17 @@ def _bounds(buf: np.ndarray, offsets: np.ndarray,
     return start, np.flatnonzero(word & (first[1:] | np.r_[~word[1:], True])) + 1
 
 
-def word_hashes(buf: np.ndarray, offsets: np.ndarray,
-                separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(buf: np.ndarray, offsets: np.ndarray, separator: np.ndarray,
+                prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of several texts, and where each text's words begin.
 
     ``buf`` holds the texts' UTF-8 bytes end to end, ``separator`` marks the bytes
     between words, and A-Z count as a-z. A word's hash is the difference of two
-    prefix sums, so it does not depend on where the word stands.
+    prefix sums, so it does not depend on where the word stands. With ``prefixes``
+    the hashes have a row more for each: of the words' first so many bytes.
     """
     start, end = _bounds(buf, offsets, separator)
-    h = np.zeros(len(start), np.uint64)
+    h = np.zeros((1 + len(prefixes), len(start)), np.uint64)
     block = 1 << 20  # words of so many bytes at a time share one table of powers
     at = 0
     while at < len(start):
@@ -151,9 +152,10 @@ def word_hashes(buf: np.ndarray, offsets: np.ndarray,
         np.cumsum((_LOWER[buf[lo:hi]].astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
         s, e = start[at:upto] - lo, end[at:upto] - lo
         back = _powers(_INVERSE, hi - lo)
-        h[at:upto] = (sums[e] - sums[s]) * back[s]
+        for k, n in enumerate((hi - lo, *prefixes)):
+            h[k, at:upto] = (sums[np.minimum(e, s + n)] - sums[s]) * back[s]
         at = upto
-    return mixed(h), np.searchsorted(start, offsets)
+    return mixed(h if prefixes else h[0]), np.searchsorted(start, offsets)
 
 
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -167,13 +169,14 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def words_of(texts: pa.Array, separator: np.ndarray, marks: np.ndarray | None = None):
+def words_of(texts: pa.Array, separator: np.ndarray, marks: np.ndarray | None = None,
+             prefixes: tuple[int, ...] = ()):
     """Hashes of all words of the texts, and where each text's words begin (one more at the end).
 
     With ``marks``, also which words hold one of the marked bytes.
     """
     buf, offsets = _bytes_of(texts)
-    hashes, begin = word_hashes(buf, offsets, separator)
+    hashes, begin = word_hashes(buf, offsets, separator, prefixes)
     return (hashes, begin) if marks is None else (hashes, begin, _hold(
         buf, offsets, separator, marks[buf]))
 
