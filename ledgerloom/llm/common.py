@@ -86,6 +86,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     Large-star and small-star rounds; each round is checkpointed in the shared
     folder and no step gathers a neighbourhood in one place.
     """
+    context = edges.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(storage.shared_dir(edges.sparkSession))
     u, v = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     links = edges.where(F.col(a) != F.col(b)).select(u, v).distinct().checkpoint()
     state = None
