@@ -49,11 +49,12 @@ def conform(records: DataFrame, kind: RecordKind, wrap_unsigned: bool = False) -
     return records.select(*out)
 
 
-def decode(messages: DataFrame, kind: RecordKind) -> DataFrame:
-    """Message values to wire records plus ``_corrupt`` holding unreadable text.
+def decode(messages: DataFrame, kind: RecordKind, strict: bool = False) -> DataFrame:
+    """Message values to wire records plus ``_corrupt``, the text of one set aside, and ``_reason``.
 
-    A value is unreadable when it is not JSON of the wire types, or when it
-    lacks a required field.
+    A value is set aside when it is not JSON of the wire types, when it lacks a
+    required field, or when a number does not fit its column. With ``strict``
+    such numbers are left for ``conform``, which fails on them.
     """
     schema = T.StructType(list(kind.wire_schema.fields) + [T.StructField("_corrupt", T.StringType())])
     parsed = messages.select(
@@ -63,11 +64,19 @@ def decode(messages: DataFrame, kind: RecordKind) -> DataFrame:
     lacking = F.lit(False)
     for name in kind.required:
         lacking = lacking | F.col(f"r.{name}").isNull()
-    corrupt = F.when(F.col("r._corrupt").isNotNull() | lacking,
-                     F.coalesce(F.col("value"), F.lit("")))
+    too_large = F.lit(False)
+    wire = {f.name: f.dataType for f in kind.wire_schema}
+    for field in kind.schema:
+        if isinstance(field.dataType, T.IntegerType) and isinstance(wire.get(field.name), T.LongType):
+            too_large = too_large | ~F.coalesce(
+                F.col(f"r.{field.name}").between(_INT_MIN, _INT_MAX), F.lit(True))
+    reason = (F.when(F.col("r._corrupt").isNotNull(), "unreadable")
+              .when(lacking, "required field missing"))
+    reason = reason if strict else reason.when(too_large, "number too large")
+    corrupt = F.when(reason.isNotNull(), F.coalesce(F.col("value"), F.lit("")))
     fields = [F.col(f"r.{f.name}").alias(f.name) for f in kind.wire_schema
               if f.name != "schema_version"]
-    return parsed.select(*fields, corrupt.alias("_corrupt"))
+    return parsed.select(*fields, corrupt.alias("_corrupt"), reason.alias("_reason"))
 
 
 def schema_drift(payload_fields: DataFrame, declared: DataFrame) -> DataFrame:

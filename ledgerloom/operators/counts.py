@@ -48,6 +48,13 @@ def throughput(records: int, elapsed_ms: float) -> float:
     return records / (elapsed_ms / 1000.0)
 
 
+def run_rates(per_block: DataFrame, records: str, elapsed_ms: str,
+              interval_ms: int = 600_000) -> DataFrame:
+    """Adds records per second, and how many times the elapsed time fits into the interval."""
+    return (per_block.withColumn("per_second", F.round(F.col(records) * 1000 / F.col(elapsed_ms), 4))
+            .withColumn("headroom", F.round(F.lit(interval_ms) / F.col(elapsed_ms), 4)))
+
+
 def headroom(interval_ms: float, latency_ms: float) -> float:
     """How many times the latency fits into the block interval."""
     return interval_ms / latency_ms

@@ -66,13 +66,13 @@ def flat_block(spark: SparkSession, sf: str) -> DataFrame:
 
 def flat_range(spark: SparkSession, sf: str) -> DataFrame:
     """Flat rows of the whole chain."""
-    return flat_text(flat.build_flat(_views(spark, sf).frames_unplaced()))
+    return flat_text(flat.build_flat(_views(spark, sf).frames()))
 
 
 def flat_fanout_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Inputs replayed once: distinct counts stay right, sums double."""
     v = _views(spark, sf)
-    frames = LedgerFrames(v.blocks, v.transactions, v.tx_in.unionByName(v.tx_in), v.line_outputs())
+    frames = LedgerFrames(v.blocks, v.transactions, v.tx_in.unionByName(v.tx_in), v.tx_out)
     return flat.fanout_counts(frames).select(
         "txid", _wide("height"), "joined_rows", "input_count", "output_count", "inflated_value")
 
@@ -85,7 +85,7 @@ def control_unmatched(spark: SparkSession, sf: str) -> DataFrame:
 
 def prevout_join(spark: SparkSession, sf: str) -> DataFrame:
     v = _views(spark, sf)
-    once = keep_latest(v.line_outputs(), KINDS["tx_out"].key, [])
+    once = keep_latest(v.tx_out, KINDS["tx_out"].key, [])
     spent = validate.resolve_prevouts(v.tx_in, once)
     return spent.select("txid", "hashPrevOut", "indexPrevOut",
                         F.coalesce("prev_value", F.lit(-1)).alias("prev_value"),
@@ -116,7 +116,7 @@ def source_parity(spark: SparkSession, sf: str) -> DataFrame:
 
 def tx_child_counts(spark: SparkSession, sf: str) -> DataFrame:
     v, out = _views(spark, sf), None
-    for kind, df in (("tx_in", v.tx_in.select("txid")), ("tx_out", v.line_outputs().select("txid"))):
+    for kind, df in (("tx_in", v.tx_in.select("txid")), ("tx_out", v.tx_out.select("txid"))):
         part = df.groupBy("txid").agg(F.count("*").alias("children")).withColumn(
             "kind", F.lit(kind))
         out = part if out is None else out.unionByName(part)
@@ -124,13 +124,13 @@ def tx_child_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tx_output_value(spark: SparkSession, sf: str) -> DataFrame:
-    return _views(spark, sf).line_outputs().groupBy("txid").agg(
+    return _views(spark, sf).tx_out.groupBy("txid").agg(
         F.sum("value").alias("total_output_value"))
 
 
 def tx_nested(spark: SparkSession, sf: str) -> DataFrame:
     v = _views(spark, sf)
-    ins, outs = flat.nested_inputs(v.tx_in), flat.nested_outputs(v.line_outputs())
+    ins, outs = flat.nested_inputs(v.tx_in), flat.nested_outputs(v.tx_out)
     return ins.join(outs, "txid", "full").select("txid", _joined("inputs", _IN),
                                                  _joined("outputs", _OUT))
 
@@ -146,13 +146,19 @@ def high_water(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def distinct_children(spark: SparkSession, sf: str) -> DataFrame:
-    return _views(spark, sf).line_outputs().groupBy("txid").agg(
-        F.count("*").alias("outputs"),
-        F.count_distinct(F.struct("txid", "indexOut")).alias("distinct_outputs"))
+    """Children of each transaction, and how many of them differ by key, of both kinds."""
+    v, out = _views(spark, sf), None
+    for kind in ("tx_in", "tx_out"):
+        part = getattr(v, kind).groupBy("txid").agg(
+            F.count("*").alias("children"),
+            F.count_distinct(F.struct(*KINDS[kind].key)).alias("distinct_children")).withColumn(
+            "kind", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def table_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.table_counts(_views(spark, sf).frames_unplaced())
+    return counts.table_counts(_views(spark, sf).frames())
 
 
 def block_record_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -164,8 +170,17 @@ def run_averages(spark: SparkSession, sf: str) -> DataFrame:
     return counts.run_averages(counts.block_record_counts(_views(spark, sf).frames()))
 
 
+def run_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Records per second and headroom of every block, its size standing for milliseconds."""
+    v = _views(spark, sf)
+    sizes = v.blocks.select("height", "blocksize")
+    rated = counts.run_rates(counts.block_record_counts(v.frames()).join(sizes, "height"),
+                             "records", "blocksize")
+    return rated.select(F.col("height").cast("bigint").alias("height"), "per_second", "headroom")
+
+
 def value_checksum(spark: SparkSession, sf: str) -> DataFrame:
-    sums = counts.value_checksum(_views(spark, sf).frames_unplaced())
+    sums = counts.value_checksum(_views(spark, sf).frames())
     return sums.withColumn("satoshis", F.col("satoshis").cast("string"))
 
 
@@ -234,7 +249,7 @@ def dual_path_union(spark: SparkSession, sf: str) -> DataFrame:
 def dedup_identity(spark: SparkSession, sf: str) -> DataFrame:
     """Copies collapse before the outputs meet their blocks."""
     v = _views(spark, sf)
-    once = keep_latest(v.line_outputs(), KINDS["tx_out"].key, [])
+    once = keep_latest(v.tx_out, KINDS["tx_out"].key, [])
     placed = once.join(v.transactions.select("txid", F.col("block_height").alias("height")), "txid")
     return placed.select("txid", _wide("indexOut"), _wide("height"), "value", "scriptPubKey",
                        "address")
@@ -243,7 +258,7 @@ def dedup_identity(spark: SparkSession, sf: str) -> DataFrame:
 def missing_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Transactions without any output."""
     v = _views(spark, sf)
-    return validate.missing_ids(v.transactions, v.line_outputs(), "txid")
+    return validate.missing_ids(v.transactions, v.tx_out, "txid")
 
 
 def retention(spark: SparkSession, sf: str) -> DataFrame:
@@ -292,7 +307,7 @@ QUERIES = {
     f.__name__: f for f in (
         block_tx_join, flat_block, flat_range, flat_fanout_counts, control_unmatched, prevout_join,
         raw_flat_parity, source_parity, tx_child_counts, tx_output_value, tx_nested, high_water,
-        distinct_children, table_counts, block_record_counts, run_averages, value_checksum,
+        distinct_children, table_counts, block_record_counts, run_averages, run_rates, value_checksum,
         health_rollup, health_run_status, alert_cooldown, chain_breaks, height_gaps,
         build_progress, seq_gaps, compact_latest, latest_blocks, order_violations,
         dual_path_union, dedup_identity, missing_ids, retention, tip_freshness, topic_lag)
@@ -352,12 +367,18 @@ ORACLES = {
     "high_water": ledger("""SELECT CAST(max(height) AS BIGINT) AS max_all,
         CAST(max(height) FILTER (WHERE finality_status <> 'REORGED') AS BIGINT) AS max_living,
         CAST(-1 AS BIGINT) AS max_none FROM blocks""", "blocks"),
-    "distinct_children": ledger("""SELECT txid, count(*) AS outputs,
-        count(DISTINCT txid || ':' || indexOut) AS distinct_outputs FROM tx_out GROUP BY txid""",
-                                "tx_out"),
+    "distinct_children": ledger("""SELECT txid, count(*) AS children,
+        count(DISTINCT hashPrevOut || ':' || indexPrevOut) AS distinct_children, 'tx_in' AS kind
+        FROM tx_in GROUP BY txid
+        UNION ALL SELECT txid, count(*), count(DISTINCT indexOut), 'tx_out'
+        FROM tx_out GROUP BY txid""", "tx_in", "tx_out"),
     "table_counts": ledger(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _ALL), *_ALL),
     "block_record_counts": ledger(_PER_BLOCK, *_ALL),
+    "run_rates": ledger("""SELECT CAST(p.height AS BIGINT) AS height,
+        round(records * 1000 / blocksize, 4) AS per_second,
+        round(600000 / blocksize, 4) AS headroom
+        FROM per_block p JOIN blocks b ON b.height = p.height""", *_ALL, per_block=_PER_BLOCK),
     "run_averages": ledger("SELECT count(*) AS blocks, " + ", ".join(
         f"CAST(sum({c}) AS BIGINT) AS total_{c}, round(avg({c}), 4) AS avg_{c}"
         for c in ("txs", "inputs", "outputs", "records")) + " FROM per_block", *_ALL,

@@ -11,7 +11,7 @@ from ledgerloom.operators.dedupe import dedupe_identity
 from ledgerloom.operators.normalize import LedgerFrames, normalize
 from ledgerloom.plans.flat import FlatTable, build_flat
 from ledgerloom.registry.sql import ledger, print_of, summary_of
-from ledgerloom.registry.workspace import Workspace, fingerprint, summary
+from ledgerloom.registry.workspace import PRINTED, Workspace, fingerprint, summary, text_of
 from ledgerloom.schemas import CONFIRMED, KINDS
 from ledgerloom.sources import catalog, history, topics
 from ledgerloom.sources.lake import Lake, overwrite_by
@@ -142,13 +142,14 @@ def compact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def inspect_block(spark: SparkSession, sf: str) -> DataFrame:
-    """Record counts and the first record of each kind in the newest block."""
+    """Record counts and the first record of each kind, by its key, in the newest block."""
     lake: Lake = Workspace(spark, sf).lake()
     tip, out = lake.high_water(), None
     for table, kind in KINDS.items():
         key = F.concat_ws(":", *[F.col(c).cast("string") for c in kind.key])
         part = lake.read(table, heights=[tip]).agg(
-            F.count("*").alias("records"), F.min(key).alias("first_record")).select(
+            F.count("*").alias("records"), F.min_by(F.concat_ws(
+                "|", *[text_of(c) for c in PRINTED[table]]), key).alias("first_record")).select(
             F.lit(table).alias("kind"), "records", "first_record")
         out = part if out is None else out.unionByName(part)
     return out
@@ -204,14 +205,9 @@ ORACLES = {
     "compact": ledger(f"""SELECT count(*) AS row_count,
         {print_of('txid, indexOut, value, address')} AS fingerprint, true AS fewer_files
         FROM tx_out""", "tx_out"),
-    "inspect_block": ledger("""
-        SELECT 'blocks' AS kind, count(*) AS records, min(block_hash) AS first_record
-        FROM blocks, tip WHERE height = tip
-        UNION ALL SELECT 'transactions', count(*), min(txid) FROM transactions, tip
-        WHERE block_height = tip
-        UNION ALL SELECT 'tx_in', count(*), min(txid || ':' || hashPrevOut || ':' || indexPrevOut)
-        FROM tx_in, tip WHERE block_height = tip
-        UNION ALL SELECT 'tx_out', count(*), min(txid || ':' || indexOut) FROM tx_out, tip
-        WHERE height = tip""", *_ALL),
+    "inspect_block": ledger(" UNION ALL ".join(
+        f"SELECT '{t}' AS kind, count(*) AS records, arg_min(concat_ws('|', "
+        f"{', '.join(PRINTED[t])}), concat_ws(':', {', '.join(k.key)})) AS first_record "
+        f"FROM {t}, tip WHERE {k.height_col} = tip" for t, k in KINDS.items()), *_ALL),
     "dry_run_counts": ledger(_COUNTS, *_ALL),
 }

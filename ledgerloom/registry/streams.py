@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.conform import conform
 from ledgerloom.operators.dedupe import dedupe_identity
 from ledgerloom.operators.normalize import LedgerFrames, to_messages
 from ledgerloom.plans import finality, flat
@@ -18,7 +22,7 @@ from ledgerloom.registry.workspace import (
     wire_frames,
 )
 from ledgerloom.schemas import BATCH_COL, KINDS
-from ledgerloom.sources import topics
+from ledgerloom.sources import history, topics
 from ledgerloom.sources.documents import parse_documents, stream_documents
 from ledgerloom.sources.lake import Lake
 from ledgerloom.sources.views import SEEN_AT
@@ -53,21 +57,83 @@ def stream_raw_append(spark: SparkSession, sf: str) -> DataFrame:
     return summary(_frames(lake))
 
 
+def _crash(table: str, batch_id: int) -> None:
+    raise RuntimeError(f"{table}: stopped after batch {batch_id} was appended")
+
+
+def _drain_and_crash(ws: Workspace, root: str, lake: Lake, checkpoint: str) -> None:
+    """Every query stops between the append and the commit of its first batch."""
+    started = ingest.start_raw_ingest(ws.spark, root, lake, checkpoint, available_now=True,
+                                      after_append=_crash)
+    for query in started.values():
+        with contextlib.suppress(StreamingQueryException):
+            query.awaitTermination()
+
+
 def stream_replay_safe(spark: SparkSession, sf: str) -> DataFrame:
-    """The last batch of every topic is appended a second time, as after a crash."""
+    """A batch of every topic is appended a second time after a crash."""
     ws = Workspace(spark, sf)
     lake, checkpoint = ws.new_lake("replay"), ws.new_dir("checkpoint")
+    _drain_and_crash(ws, ws.topics_dir(), lake, checkpoint)
     _drain(ws, ws.topics_dir(), lake, checkpoint)
+    return summary(_frames(lake))
+
+
+def compact_then_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables are compacted between a crash and the repeated batch."""
+    ws = Workspace(spark, sf)
+    lake, checkpoint = ws.new_lake("replay"), ws.new_dir("checkpoint")
+    _drain_and_crash(ws, ws.topics_dir(), lake, checkpoint)
     for table in KINDS:
-        ingest.forget_last_commit(spark, checkpoint, table)
+        lake.compact(table, "1")
     _drain(ws, ws.topics_dir(), lake, checkpoint)
     return summary(_frames(lake))
 
 
+def compact_while_ingesting(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch arrives between the listing of a compaction and its swap."""
+    ws = Workspace(spark, sf)
+    lake, outs, tip = ws.new_lake("meanwhile"), ws.stored().tx_out, ws.lake().high_water()
+    lake.append("tx_out", outs.where(F.col("height") <= tip // 2), "first")
+    listed = lake._foldable(lake.path("tx_out"), False)
+    lake.append("tx_out", outs.where(F.col("height") > tip // 2), "second")
+    lake._foldable = lambda path, everything: listed
+    lake.compact("tx_out", "1")
+    return lake.read("tx_out").agg(
+        F.count("*").alias("row_count"),
+        fingerprint(["txid", "indexOut", "value", "address"]).alias("fingerprint"))
+
+
+def stream_second_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """Two ingests into one lake, each with a checkpoint of its own."""
+    ws = Workspace(spark, sf)
+    lake, tip = ws.new_lake("second"), ws.lake().high_water()
+    for lo, hi in ((0, tip // 2), (tip // 2 + 1, tip)):
+        root = ws.new_dir("topics")
+        _publish_heights(ws, root, lo, hi)
+        _drain(ws, root, lake, ws.new_dir("checkpoint"))
+    return summary(_frames(lake))
+
+
+def dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Heights published twice around a seam; the stream drops the copies."""
+    ws = Workspace(spark, sf)
+    root, tip = ws.new_dir("topics"), ws.lake().high_water()
+    _publish_heights(ws, root, 0, tip // 2 + 10)
+    _publish_heights(ws, root, tip // 2 - 10, tip)
+    out = {}
+    for table, kind in KINDS.items():
+        path = ws.new_dir(f"once-{table}")
+        source = topics.stream_topic(spark, root, kind.topic, ingest.FILES_PER_BATCH)
+        (ingest.deduplicated(source, kind).writeStream.format("parquet")
+         .option("checkpointLocation", ws.new_dir("checkpoint")).option("path", path)
+         .trigger(availableNow=True).start().awaitTermination())
+        out[table] = conform(spark.read.parquet(path), kind)
+    return _keys(LedgerFrames(**out))
+
+
 def _publish_heights(ws: Workspace, root: str, lo: int, hi: int) -> None:
-    parts = {t: f.where(F.col(KINDS[t].height_col).between(lo, hi))
-             for t, f in ws.stored().items()}
-    topics.publish(to_messages(wire_frames(LedgerFrames(**parts))), root)
+    topics.publish(to_messages(wire_frames(_between(ws.stored(), lo, hi))), root)
 
 
 def stream_resume(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,6 +170,88 @@ def catchup_range(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def _keys(frames: LedgerFrames) -> DataFrame:
+    """(table_name, row_count, fingerprint) of the four tables' identity keys."""
+    out = None
+    for table, frame in frames.items():
+        part = frame.agg(F.count("*").alias("row_count"),
+                         fingerprint(KINDS[table].key).alias("fingerprint")).select(
+            F.lit(table).alias("table_name"), "row_count", "fingerprint")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _once(lake: Lake) -> DataFrame:
+    return _keys(LedgerFrames(**{t: dedupe_identity(lake.read(t), t) for t in KINDS}))
+
+
+def catchup_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Two catch-ups with their defaults; the second leaves what the first stored."""
+    ws = Workspace(spark, sf)
+    lake, docs = ws.new_lake("repeated"), ws.documents()
+    tip = ws.lake().high_water()
+    ingest.catchup(docs.where(F.col("height") <= tip // 2), lake, observed_at=SEEN_AT)
+    ingest.catchup(docs, lake, observed_at=SEEN_AT)
+    return _once(lake)
+
+
+def catchup_after_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """A catch-up that stored all blocks and half the outputs is done again."""
+    ws = Workspace(spark, sf)
+    lake, tip = ws.new_lake("failed"), ws.lake().high_water()
+    for table, frame in ws.stored().items():
+        upto = tip if table == "blocks" else tip // 2
+        lake.append(table, frame.where(F.col(KINDS[table].height_col) <= upto), "broken-off")
+    ingest.catchup(ws.documents(), lake, observed_at=SEEN_AT)
+    return _once(lake)
+
+
+def backfill_two_dumps(spark: SparkSession, sf: str) -> DataFrame:
+    """Two dumps one after the other, and the first of them once more."""
+    ws = Workspace(spark, sf)
+    lake, tip = ws.new_lake("dumps"), ws.lake().high_water()
+    roots = []
+    for lo, hi in ((0, tip // 2), (tip // 2 + 1, tip)):
+        root = ws.new_dir("dump")
+        history.write_history(_between(ws.stored(), lo, hi), root)
+        history.backfill(spark, root, lake, SEEN_AT)
+        roots.append(root)
+    history.backfill(spark, roots[0], lake, SEEN_AT)
+    return summary(_frames(lake))
+
+
+def _between(frames: LedgerFrames, lo: int, hi: int) -> LedgerFrames:
+    return LedgerFrames(**{t: f.where(F.col(KINDS[t].height_col).between(lo, hi))
+                           for t, f in frames.items()})
+
+
+def flat_incremental_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of ten heights are stored twice before the second build."""
+    ws = Workspace(spark, sf)
+    lake, made = ws.new_lake("overlap"), flat.FlatTable(spark, ws.new_dir("flat"))
+    tip = ws.lake().high_water()
+    lake.append_all(_between(ws.stored(), 0, tip - 50), "first")
+    flat.build_incremental(lake, made)
+    lake.append_all(_between(ws.stored(), tip - 59, tip), "second")
+    lake.append_all(_between(ws.stored(), tip - 9, tip), "third")
+    flat.build_incremental(lake, made)
+    return flat_light(made.read())
+
+
+def flat_with_late_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """Outputs that lag behind the other tables hold the build back."""
+    ws = Workspace(spark, sf)
+    lake, made = ws.new_lake("late"), flat.FlatTable(spark, ws.new_dir("flat"))
+    tip = ws.lake().high_water()
+    for table, frame in ws.stored().items():
+        upto = tip - 30 if table == "tx_out" else tip
+        lake.append(table, frame.where(F.col(KINDS[table].height_col) <= upto), "first")
+    flat.build_incremental(lake, made)
+    lake.append("tx_out", ws.stored().tx_out.where(F.col("height") > tip - 30), "second")
+    flat.build_incremental(lake, made)
+    return flat_light(made.read())
+
+
 def flat_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Built to fifty heights below the tip, brought up to date, and once more with no effect."""
     ws = Workspace(spark, sf)
@@ -136,6 +284,32 @@ def finality_apply(spark: SparkSession, sf: str) -> DataFrame:
         F.col("height").cast("bigint").alias("height"), "block_hash", "nNonce", "finality_status")
 
 
+def _finality_streamed(ws: Workspace) -> Lake:
+    """Control events arriving in three portions, each drained by a restarted query."""
+    spark, lake = ws.spark, ws.new_lake("finality")
+    lake.append("blocks", ws.stored().blocks, "load")
+    arrived, checkpoint, control = ws.new_dir("control"), ws.new_dir("checkpoint"), ws.views.control
+    top = control.agg(F.max("offset")).first()[0]
+    for i in range(3):
+        lo, hi = (top * i // 3 if i else -1), top * (i + 1) // 3
+        control.where((F.col("offset") > lo) & (F.col("offset") <= hi)).write.mode(
+            "append").parquet(arrived)
+        source = spark.readStream.schema(control.schema).parquet(arrived)
+        finality.start_finality(source, lake, checkpoint, available_now=True).awaitTermination()
+    return lake
+
+
+def finality_stream(spark: SparkSession, sf: str) -> DataFrame:
+    lake = _finality_streamed(Workspace(spark, sf))
+    return lake.read("blocks").select(
+        F.col("height").cast("bigint").alias("height"), "block_hash", "nNonce", "finality_status")
+
+
+def finality_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    lake = _finality_streamed(Workspace(spark, sf))
+    return finality.rejected_events(lake).groupBy("reason").agg(F.count("*").alias("events"))
+
+
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """Every 50th block is damaged, as a document and as a message; the rest goes through."""
     ws = Workspace(spark, sf)
@@ -215,10 +389,27 @@ _CHANGES = """SELECT block_hash, finality_status AS new_status FROM (
 _AFTER = """SELECT b.height, b.block_hash, b.nNonce,
     coalesce(new_status, finality_status) AS finality_status
     FROM blocks b LEFT JOIN changes c ON c.block_hash = b.block_hash"""
+# A line number given twice in one order is one output; of its copies the greatest is kept.
+_OUTPUTS_ONCE = """SELECT txid, count(*) AS output_count, CAST(sum(v) AS BIGINT) AS total_output_value
+    FROM (SELECT txid, indexOut, max(value) AS v FROM tx_out GROUP BY txid, indexOut) d
+    GROUP BY txid"""
+_FLAT_ONCE = ledger("""SELECT t.txid, CAST(b.height AS BIGINT) AS block_height,
+    coalesce(input_count, 0) AS input_count, coalesce(output_count, 0) AS output_count,
+    coalesce(total_output_value, 0) AS total_output_value, b.finality_status
+    FROM transactions t JOIN blocks b ON t.hashBlock = b.block_hash
+    LEFT JOIN ic ON ic.txid = t.txid LEFT JOIN once ON once.txid = t.txid
+    WHERE b.finality_status <> 'REORGED'""", "transactions", "blocks", "ic", "tx_out",
+                    once=_OUTPUTS_ONCE)
+_KEYS_ONCE = ledger(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, {print_of(', '.join(k.key))} AS fingerprint "
+    f"FROM (SELECT DISTINCT {', '.join(k.key)} FROM {t}) d{t}" for t, k in KINDS.items()), *_ALL)
 QUERIES = {
     f.__name__: f for f in (
-        publish_stream, stream_raw_append, stream_replay_safe, stream_resume, catchup_range, flat_incremental,
-        flat_refresh_status, finality_apply, quarantine, seq_gaps_stream, alert_cooldown_stream)
+        publish_stream, stream_raw_append, stream_replay_safe, stream_resume,
+        stream_second_checkpoint, compact_then_replay, compact_while_ingesting, dedup_stream,
+        catchup_range, catchup_repeated, catchup_after_failure, backfill_two_dumps,
+        flat_incremental, flat_incremental_overlap, flat_with_late_outputs, finality_stream,
+        finality_rejects, flat_refresh_status, finality_apply, quarantine, seq_gaps_stream, alert_cooldown_stream)
 }
 ORACLES = {
     "publish_stream": ledger(" UNION ALL ".join(
@@ -234,14 +425,32 @@ ORACLES = {
         f"CAST(max({k.height_col}) AS BIGINT) AS top_height FROM {t}, stopped"
         for t, k in KINDS.items()), *_ALL,
         stopped="SELECT max(height) AS last FROM blocks, tip WHERE height <= tip - 20"),
-    "flat_incremental": ledger(f"SELECT {FLAT_LIGHT}, finality_status FROM flat", "flat"),
+    "stream_second_checkpoint": _SUMMARY,
+    "compact_then_replay": _SUMMARY,
+    "compact_while_ingesting": ledger(f"""SELECT count(*) AS row_count,
+        {print_of('txid, indexOut, value, address')} AS fingerprint FROM tx_out""", "tx_out"),
+    "dedup_stream": _KEYS_ONCE,
+    "catchup_repeated": _KEYS_ONCE,
+    "catchup_after_failure": _KEYS_ONCE,
+    "backfill_two_dumps": _SUMMARY,
+    "flat_incremental_overlap": _FLAT_ONCE,
+    "flat_with_late_outputs": _FLAT_ONCE,
+    "finality_stream": ledger("""SELECT CAST(height AS BIGINT) AS height, block_hash, nNonce,
+        finality_status FROM after""", "blocks", "control", changes=_CHANGES, after=_AFTER),
+    "finality_rejects": ledger("""SELECT reason, count(*) AS events FROM (
+        SELECT CASE WHEN type NOT IN ('finality', 'reorg') THEN 'unknown type'
+                    WHEN c.finality_status NOT IN ('CONFIRMED', 'REORGED') THEN 'invalid status'
+                    WHEN b.block_hash IS NULL THEN 'no such block' END AS reason
+        FROM control c LEFT JOIN blocks b ON b.block_hash = c.block_hash) r
+        WHERE reason IS NOT NULL GROUP BY reason""", "blocks", "control"),
+    "flat_incremental": _FLAT_ONCE,
     "flat_refresh_status": ledger(f"""SELECT t.txid, CAST(a.height AS BIGINT) AS block_height,
         coalesce(input_count, 0) AS input_count, coalesce(output_count, 0) AS output_count,
         coalesce(total_output_value, 0) AS total_output_value, a.finality_status
         FROM transactions t JOIN after a ON t.hashBlock = a.block_hash
-        LEFT JOIN ic ON ic.txid = t.txid LEFT JOIN oc ON oc.txid = t.txid
-        WHERE a.finality_status <> 'REORGED'""", "transactions", "blocks", "ic", "oc", "control",
-        changes=_CHANGES, after=_AFTER),
+        LEFT JOIN ic ON ic.txid = t.txid LEFT JOIN once ON once.txid = t.txid
+        WHERE a.finality_status <> 'REORGED'""", "transactions", "blocks", "ic", "tx_out", "control",
+        changes=_CHANGES, after=_AFTER, once=_OUTPUTS_ONCE),
     "finality_apply": ledger("""SELECT CAST(height AS BIGINT) AS height, block_hash, nNonce,
         finality_status FROM after""", "blocks", "control", changes=_CHANGES, after=_AFTER),
     "quarantine": ledger(f"""

@@ -7,6 +7,7 @@ nothing else, which makes a retried or replayed append harmless.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -20,6 +21,7 @@ from ledgerloom.schemas import BATCH_COL, BUCKET_COL, KINDS, RAW_BUCKETS
 
 _LAYOUT = [T.StructField(BUCKET_COL, T.IntegerType()), T.StructField(BATCH_COL, T.StringType())]
 COMPACTED = "compacted"
+_STREAM_BATCH = re.compile(r"(.+)-\d{9}")
 _ASIDE = "_replaced-"
 
 
@@ -99,6 +101,19 @@ class Lake:
     def high_water(self, table: str = "blocks", column: str = "height") -> int:
         return self.read(table).agg(F.coalesce(F.max(column), F.lit(-1))).first()[0]
 
+    def complete_height(self) -> int:
+        """The height up to which every table has records, -1 if one has none.
+
+        A height's records arrive in order of height in each table, so the table
+        that is furthest behind sets it.
+        """
+        tops = [self.read(t).agg(F.coalesce(F.max(k.height_col), F.lit(-1)).alias("top"))
+                for t, k in KINDS.items()]
+        every = tops[0]
+        for top in tops[1:]:
+            every = every.unionByName(top)
+        return every.agg(F.min("top")).first()[0]
+
     # -- updating ----------------------------------------------------------
     def update(self, table: str, changes: DataFrame, on: str, column: str) -> None:
         """Set ``column`` from ``changes`` (unique per ``on``) by copy-on-write.
@@ -109,40 +124,27 @@ class Lake:
         """
         new = changes.select(on, F.col(column).alias("_new"))
         current = self.scan(table)
+        staging = storage.new_dir(self.spark, f"staging-{table}")
+        new.write.parquet(f"{staging}-changes")
+        new = self.spark.read.schema(new.schema).parquet(f"{staging}-changes")
         differing = current.join(new, on).where(~F.col(column).eqNullSafe(F.col("_new")))
-        touched = [tuple(r) for r in differing.select(BUCKET_COL, BATCH_COL).distinct().collect()]
-        if not touched:
+        folders = differing.select(BUCKET_COL, BATCH_COL).distinct()
+        folders.write.parquet(f"{staging}-folders")
+        folders = self.spark.read.schema(folders.schema).parquet(f"{staging}-folders")
+        if folders.isEmpty():
             return
-        inside = self._folders(touched)
-        part = current.where(inside)
+        # a join at every number of folders; Spark prunes the scan by what it holds
+        part = current.join(folders, [BUCKET_COL, BATCH_COL], "left_semi")
         updated = (part.join(new, on, "left")
                    .withColumn(column, F.coalesce(F.col("_new"), F.col(column))).drop("_new"))
-        staging = storage.new_dir(self.spark, f"staging-{table}")
         self._write(updated.select(*current.columns), staging)
         staged = self.spark.read.schema(current.schema).parquet(staging)
         before, after = part.count(), staged.count()
         if before != after:
             raise RuntimeError(f"{table}: staged {after} rows for {before}; table left as it was")
         self.overwrite_partitions(table, staged)
-        storage.delete(self.spark, staging)
-
-    @staticmethod
-    def _folders(touched: list[tuple[int, str]]) -> Column:
-        """Condition that prunes the scan to the given (bucket, batch) folders.
-
-        Beyond 200 batches it settles for all combinations, which is a superset:
-        the extra folders are rewritten with what they hold.
-        """
-        by_batch: dict[str, list[int]] = {}
-        for bucket, batch in touched:
-            by_batch.setdefault(batch, []).append(bucket)
-        if len(by_batch) > 200:
-            return (F.col(BATCH_COL).isin(list(by_batch))
-                    & F.col(BUCKET_COL).isin(sorted({b for b, _ in touched})))
-        inside = F.lit(False)
-        for batch, buckets in by_batch.items():
-            inside = inside | ((F.col(BATCH_COL) == batch) & F.col(BUCKET_COL).isin(buckets))
-        return inside
+        for path in (staging, f"{staging}-changes", f"{staging}-folders"):
+            storage.delete(self.spark, path)
 
     # -- maintenance -------------------------------------------------------
     def compact(self, table: str, generation: str, everything: bool = False) -> dict[str, int]:
@@ -150,16 +152,18 @@ class Lake:
 
         Batches compacted earlier are left alone unless ``everything`` is set,
         so a regular run costs as much as what arrived since the last one. The
-        compacted copy is staged and counted; then folders are swapped by
-        rename, bucket by bucket. Replaced folders stay aside under a hidden
+        compacted copy is staged and counted; then the folders that were read are
+        swapped by rename, bucket by bucket; batches that arrive meanwhile stay. The
+        newest batch of each stream may still be repeated and is left alone, too. Replaced folders stay aside under a hidden
         name until all swaps are done; the next run puts an interrupted one right.
         """
         path, new_batch = self.path(table), f"{COMPACTED}-{generation}"
         self._put_right(path)
         files_before = storage.data_file_count(self.spark, path)
-        source = self.scan(table)
-        if not everything:
-            source = source.where(~F.col(BATCH_COL).startswith(f"{COMPACTED}-"))
+        batches = self._foldable(path, everything)
+        if not batches:
+            return {"files_before": files_before, "files_after": files_before}
+        source = self.scan(table).where(F.col(BATCH_COL).isin(batches))
         staging = storage.new_dir(self.spark, f"compact-{table}")
         (source.withColumn(BATCH_COL, F.lit(new_batch)).hint("rebalance", F.col(BUCKET_COL))
          .sortWithinPartitions(BUCKET_COL, KINDS[table].height_col)
@@ -171,7 +175,7 @@ class Lake:
         aside = f"{path}/{_ASIDE}{generation}"
         for bucket in self._buckets(staging):
             for batch in storage.child_names(self.spark, f"{path}/{bucket}"):
-                if everything or not batch.startswith(f"{BATCH_COL}={COMPACTED}-"):
+                if batch.split("=", 1)[1] in batches:
                     storage.rename(self.spark, f"{path}/{bucket}/{batch}",
                                    f"{aside}/{bucket}/{batch}")
             storage.rename(self.spark, f"{staging}/{bucket}/{BATCH_COL}={new_batch}",
@@ -182,6 +186,19 @@ class Lake:
         return {"files_before": files_before,
                 "files_after": storage.data_file_count(self.spark, path)}
 
+    def _foldable(self, path: str, everything: bool) -> list[str]:
+        """Batches a compaction takes in, as they are when it starts."""
+        found = {n.split("=", 1)[1] for bucket in self._buckets(path)
+                 for n in storage.child_names(self.spark, f"{path}/{bucket}")
+                 if n.startswith(f"{BATCH_COL}=")}
+        newest: dict[str, str] = {}
+        for name in found:
+            stream = _STREAM_BATCH.fullmatch(name)
+            if stream:
+                newest[stream[1]] = max(newest.get(stream[1], ""), name)
+        return sorted(n for n in found - set(newest.values())
+                      if everything or not n.startswith(f"{COMPACTED}-"))
+
     def _buckets(self, path: str) -> list[str]:
         return [n for n in storage.child_names(self.spark, path) if n.startswith(f"{BUCKET_COL}=")]
 

@@ -160,10 +160,6 @@ class LedgerViews:
             F.lit(SEEN_AT).alias("ingested_at"),
         )
 
-    def frames_unplaced(self) -> LedgerFrames:
-        """As ``frames`` with outputs that lack their block columns, hence without a join."""
-        return LedgerFrames(self.blocks, self.transactions, self.tx_in, self.line_outputs())
-
     def frames(self) -> LedgerFrames:
         return LedgerFrames(self.blocks, self.transactions, self.tx_in, self.tx_out)
 

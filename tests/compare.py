@@ -67,7 +67,7 @@ def main() -> int:
     args.add_argument("--sf", default="/root/testdata/sf0.01")
     args.add_argument("names", nargs="*")
     opts = args.parse_args()
-    spark = build_session("compare", "local[8]", {
+    spark = build_session("compare", f"local[{os.environ.get('COMPARE_CPUS', '8')}]", {
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")

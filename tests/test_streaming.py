@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.dedupe import dedupe_identity
@@ -51,13 +52,25 @@ def test_batches_obey_the_file_budget(spark, env, documents):
 
 
 def test_repeated_batch_leaves_no_copies(spark, env, documents):
+    def crash(table, batch):
+        raise RuntimeError("stopped before the commit")
+
     env.publish(documents(chain(5)))
+    with pytest.raises(StreamingQueryException):
+        env.drain(after_append=crash)
     env.drain()
-    before = {t: rows(env.lake.read(t)) for t in KINDS}
-    for table in KINDS:
-        assert ingest.forget_last_commit(spark, env.checkpoint, table) == 0
+    assert env.counts() == dict.fromkeys(KINDS, 5)
+    assert env.lake.scan("blocks").select("ingest_batch").distinct().count() == 1
+
+
+def test_numbers_that_do_not_fit_are_set_aside(spark, env, documents):
+    docs = chain(3)
+    docs[1]["version"] = 4294967295
+    env.publish(documents(docs))
     env.drain()
-    assert {t: rows(env.lake.read(t)) for t in KINDS} == before
+    assert env.counts()["blocks"] == 2 and env.counts()["transactions"] == 3
+    kept = spark.read.parquet(ingest.quarantine_dir(env.lake))
+    assert rows(kept.select("table_name", "reason")) == [("blocks", "number too large")]
 
 
 def test_damaged_messages_are_set_aside(spark, env, documents):
