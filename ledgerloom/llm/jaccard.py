@@ -187,12 +187,13 @@ class JaccardJoin:
         late, bits = self._late(members)
         prefixes = self.docs.mapInArrow(_prefixes(self.ngram, self.percent, late, bits),
                                         "doc_id long, prefix array<long>")
-        keys = self.nodes.select(F.col("first").alias("doc_id"), "node", "n")
+        keys = self.nodes.select(F.col("first").alias("doc_id"), "node")
         index = (prefixes.join(keys, "doc_id").dropDuplicates(["node"])
-                 .select("node", "n", F.posexplode("prefix").alias("pos", "gram")))
+                 .select("node", F.posexplode("prefix").alias("pos", "gram")))
         shared = (index.groupBy("gram").agg(F.min("pos").alias("least"), F.count("*").alias("c"))
                   .where("c > 1").drop("c"))
-        return common.written(index.join(shared, "gram"), "postings")
+        sizes = self.nodes.select("node", "n")
+        return common.written(index.join(shared, "gram").join(sizes, "node"), "postings")
 
     def _filtered(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that the length and suffix filters cannot rule out."""
@@ -231,34 +232,31 @@ class JaccardJoin:
         """Pairs in one n-gram's list whose nodes are in different components so far.
 
         Lists of one component drop out by an aggregate; in the others a node is
-        matched with the list's other components first and only then with nodes. All
-        n-grams both prefixes share are counted: behind the prefix that ends first, only
-        that text's other n-grams can still agree.
+        matched with the list's other components first and only then with nodes. The
+        first n-gram two sets share has nothing in common before it, so what is left of
+        either set from there on must be as large as the overlap they need.
         """
         t = self.percent
         rows = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
         rows = common.written(rows.join(mixed.where("lo < hi").select("gram"), "gram"), "mixed")
         groups = (rows.groupBy("gram", F.col("root").alias("other"))
-                  .agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0"),
-                       F.max("pos").alias("p1")))
+                  .agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0")))
         left = rows.select("gram", "root", F.col("node").alias("a"), F.col("n").alias("an"),
                            F.col("pos").alias("ap"))
         right = rows.select("gram", F.col("root").alias("other"), F.col("node").alias("b"),
                             F.col("n").alias("bn"), F.col("pos").alias("bp"))
-        least = F.ceil(F.lit(t) * (F.col("an") + F.col("bn")) / (100 + t))
-        most = (F.least("ap", "bp") + 1
-                + F.least(F.col("an") - F.col("ap") - 1, F.col("bn") - F.col("bp") - 1))
+
+        def least(m: str):
+            return F.ceil(F.lit(t) * (F.col("an") + F.col(m)) / (100 + t))
         near = ((100 * F.col("an") >= t * F.col("n0")) & (100 * F.col("n1") >= t * F.col("an"))
-                & (F.least("ap", "p1") + F.least(F.col("an") - F.col("ap"), F.col("n1") - F.col("p0"))
-                   >= F.ceil(F.lit(t) * (F.col("an") + F.col("n0")) / (100 + t))))
+                & (F.least(F.col("an") - F.col("ap"), F.col("n1") - F.col("p0")) >= least("n0")))
+        near_one = ((100 * F.least("an", "bn") >= t * F.greatest("an", "bn"))
+                    & (F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp")) >= least("bn")))
         return (left.join(groups, (left["gram"] == groups["gram"]) & (F.col("root") < F.col("other"))
                           & near)
-                .drop(groups["gram"]).join(right, ["gram", "other"])
-                .where((100 * F.least("an", "bn") >= t * F.greatest("an", "bn")) & (most >= least))
-                .groupBy("a", "b", "an", "bn").agg(F.count("*").alias("k"))
-                .where(F.col("k") + F.ceil(F.lit(t) * F.greatest("an", "bn") / 100) - 1 >= least)
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+                .drop(groups["gram"]).join(right, ["gram", "other"]).where(near_one)
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified links that hold every component together, and (node, root)."""
