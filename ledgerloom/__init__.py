@@ -1,7 +1,7 @@
 """Block-ledger pipelines on Spark: normalise, ingest, finalise, serve and validate."""
 
 from ledgerloom.operators.normalize import LedgerFrames, document_messages, normalize
-from ledgerloom.plans.finality import apply_finality
+from ledgerloom.plans.finality import apply_finality, start_finality
 from ledgerloom.plans.flat import FlatTable, build_block, build_flat, build_incremental, build_range
 from ledgerloom.session import build_session
 from ledgerloom.sources.catalog import create_tables
@@ -20,5 +20,5 @@ __all__ = [
     "FlatTable", "Lake", "LedgerFrames", "apply_finality", "backfill", "build_block",
     "build_flat", "build_incremental", "build_range", "build_session", "catchup",
     "create_tables", "document_messages", "normalize", "publish", "publish_documents", "read_documents",
-    "start_publish", "start_raw_ingest", "stream_documents",
+    "start_finality", "start_publish", "start_raw_ingest", "stream_documents",
 ]

@@ -127,13 +127,30 @@ def _header(present: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in _HEADER if c in present]).alias("b")
 
 
+def _is_first(number: Column) -> Column:
+    return F.coalesce(number, F.lit(0)) == 0
+
+
+def _numbered(documents: DataFrame) -> DataFrame:
+    """The documents with a slice, and with pieces of their transactions."""
+    if "slice" not in documents.columns:
+        documents = documents.withColumn("slice", F.lit(0))
+    if "piece" not in documents.schema["tx"].dataType.elementType.fieldNames():
+        documents = documents.withColumn(
+            "tx", F.transform("tx", lambda t: t.withField("piece", F.lit(0))))
+    return documents
+
+
 def normalize(documents: DataFrame, observed_at: str | None = None,
               source_seq: Column | int | None = None) -> LedgerFrames:
-    """The four record frames of a frame of block documents (``BLOCK_DOCUMENT`` columns)."""
-    stamp = _stamp(observed_at, source_seq)
+    """The four record frames of a frame of block documents (``BLOCK_DOCUMENT`` columns).
+
+    A header comes from slice 0 of its block alone, a transaction from its piece 0.
+    """
+    documents, stamp = _numbered(documents), _stamp(observed_at, source_seq)
     b, tx = F.col("b"), F.col("tx")
     seq = stamp.source_seq.alias("_seq")
-    header = documents.select(_header(documents.columns), seq)
+    header = documents.where(_is_first(F.col("slice"))).select(_header(documents.columns), seq)
     per_tx = documents.select(_header(documents.columns), F.explode("tx").alias("tx"))
     per_vin = per_tx.select("b", F.struct("tx.txid").alias("tx"), F.explode("tx.vin").alias("vin"))
     per_vout = per_tx.select(
@@ -141,7 +158,7 @@ def normalize(documents: DataFrame, observed_at: str | None = None,
     block_stamp = _Stamp(stamp.observed_at, F.col("_seq"))
     return LedgerFrames(
         blocks=header.select(*block_record(b, block_stamp)),
-        transactions=per_tx.select(*transaction_record(b, tx, stamp)),
+        transactions=per_tx.where(_is_first(tx["piece"])).select(*transaction_record(b, tx, stamp)),
         tx_in=per_vin.select(*input_record(b, tx, F.col("vin"), stamp)),
         tx_out=per_vout.select(*output_record(b, tx, F.col("vout"), stamp)),
     )
@@ -173,8 +190,9 @@ def document_messages(documents: DataFrame, observed_at: str | None = None,
     The records of a block are built in place and exploded once, so the
     documents are read and parsed a single time instead of once per topic.
     """
-    stamp = _stamp(observed_at, source_seq)
-    row = documents.select(_header(documents.columns), "tx", stamp.source_seq.alias("_seq"))
+    documents, stamp = _numbered(documents), _stamp(observed_at, source_seq)
+    row = documents.select(_header(documents.columns), "slice", "tx",
+                           stamp.source_seq.alias("_seq"))
     b = F.col("b")
     block_stamp = _Stamp(stamp.observed_at, F.col("_seq"))
 
@@ -204,8 +222,8 @@ def document_messages(documents: DataFrame, observed_at: str | None = None,
 
     block_message = key("blocks", block_record(b, block_stamp), {"block_hash": b["hash"]})
     messages = F.concat(
-        F.array(block_message),
-        F.transform("tx", tx_message),
+        F.filter(F.array(block_message), lambda _: _is_first(F.col("slice"))),
+        F.transform(F.filter("tx", lambda t: _is_first(t["piece"])), tx_message),
         F.flatten(F.transform("tx", vin_messages)),
         F.flatten(F.transform("tx", vout_messages)),
     )

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.broadcasting import broadcast_if_small
+from ledgerloom.operators.broadcasting import MAX_BROADCAST_BYTES, measured_bytes
 
 HOT_ROWS = 2_000_000
 SAMPLE_ROWS = 2_000_000
 MAX_HOT_KEYS = 10_000
+SALTS = 64
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> dict:
@@ -43,6 +44,11 @@ def join_many_to_one(many: DataFrame, one: DataFrame, key: str, how: str = "inne
     if not hot:
         return many.join(one, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    partners = broadcast_if_small(one.where(is_hot))
-    return (many.where(~is_hot).join(one.where(~is_hot), key, how)
-            .unionByName(many.where(is_hot).join(partners, key, how)))
+    cold = many.where(~is_hot).join(one.where(~is_hot), key, how)
+    heavy, partners = many.where(is_hot), one.where(is_hot)
+    if measured_bytes(partners) <= MAX_BROADCAST_BYTES:
+        return cold.unionByName(heavy.join(F.broadcast(partners), key, how))
+    # too many partners to send everywhere: each meets its rows in SALTS portions
+    heavy = heavy.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(SALTS)).cast("int"))
+    partners = partners.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return cold.unionByName(heavy.join(partners, [key, "_salt"], how).drop("_salt"))

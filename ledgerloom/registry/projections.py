@@ -30,13 +30,11 @@ def _normalized(spark: SparkSession, sf: str):
 
 
 def norm_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    blocks = dedupe_identity(_normalized(spark, sf).blocks, "blocks")
-    return blocks.drop(*_STAMPS, "source_seq")
+    return _normalized(spark, sf).blocks.drop(*_STAMPS, "source_seq")
 
 
 def norm_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    txs = dedupe_identity(_normalized(spark, sf).transactions, "transactions")
-    return txs.drop(*_STAMPS)
+    return _normalized(spark, sf).transactions.drop(*_STAMPS)
 
 
 def norm_tx_in(spark: SparkSession, sf: str) -> DataFrame:

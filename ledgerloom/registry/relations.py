@@ -247,11 +247,9 @@ def dual_path_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_identity(spark: SparkSession, sf: str) -> DataFrame:
-    """Copies collapse before the outputs meet their blocks."""
-    v = _views(spark, sf)
-    once = keep_latest(v.tx_out, KINDS["tx_out"].key, [])
-    placed = once.join(v.transactions.select("txid", F.col("block_height").alias("height")), "txid")
-    return placed.select("txid", _wide("indexOut"), _wide("height"), "value", "scriptPubKey",
+    """Outputs, one row per identity key."""
+    once = keep_latest(_views(spark, sf).tx_out, KINDS["tx_out"].key, [])
+    return once.select("txid", _wide("indexOut"), _wide("height"), "value", "scriptPubKey",
                        "address")
 
 

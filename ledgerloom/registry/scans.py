@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import counts
 from ledgerloom.operators.conform import conform, decode
-from ledgerloom.operators.dedupe import dedupe_identity
 from ledgerloom.operators.normalize import LedgerFrames, normalize
 from ledgerloom.plans.flat import FlatTable, build_flat
 from ledgerloom.registry.sql import ledger, print_of, summary_of
@@ -20,7 +19,7 @@ from ledgerloom.sources.views import SEEN_AT
 
 def block_source(spark: SparkSession, sf: str) -> DataFrame:
     docs = Workspace(spark, sf).documents()
-    whole = F.filter("tx", lambda t: F.size(t["vin"]) > 0)
+    whole = F.filter("tx", lambda t: t["piece"] == 0)
     return docs.groupBy("height", F.col("hash").alias("block_hash")).agg(
         F.sum(F.size(whole)).alias("txs"))
 
@@ -158,10 +157,7 @@ def inspect_block(spark: SparkSession, sf: str) -> DataFrame:
 def dry_run_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Normalised without any sink; only counts come back."""
     frames = normalize(Workspace(spark, sf).documents(), SEEN_AT)
-    once = LedgerFrames(dedupe_identity(frames.blocks, "blocks"),
-                        dedupe_identity(frames.transactions, "transactions"),
-                        frames.tx_in, frames.tx_out)
-    return counts.table_counts(once)
+    return counts.table_counts(frames)
 
 
 _KEYS = """

@@ -317,7 +317,7 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     lines = ws.documents().select("height", F.to_json(F.struct("*")).alias("line")).select(
         F.when(F.col("height") % 50 == 7, cut("line")).otherwise(F.col("line")).alias("value"))
     parsed = parse_documents(lines)
-    good_docs = parsed.where(F.col("_corrupt").isNull()).select("hash").distinct()
+    good_docs = parsed.where(F.col("_corrupt").isNull() & (F.col("slice") == 0)).select("hash")
     bad_docs = parsed.where(F.col("_corrupt").isNotNull()).select("_corrupt").distinct()
 
     root, lake = ws.new_dir("topics"), ws.new_lake("quarantine")

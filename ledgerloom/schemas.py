@@ -70,13 +70,15 @@ FLAT = _struct(
 )
 FLAT_KEY = ("txid", "block_height")
 
-# Money is parsed as an exact decimal; no double is ever involved.
+# Money is parsed as an exact decimal; no double is ever involved. A block may come in
+# several documents, and a transaction in several pieces: those numbered 0, or not numbered,
+# stand for the block's header and for the transaction itself.
 BLOCK_DOCUMENT = _struct(
     ("hash", _STR), ("height", _LONG), ("version", _LONG), ("size", _LONG),
     ("previousblockhash", _STR), ("merkleroot", _STR), ("time", _LONG), ("bits", _STR),
-    ("nonce", _LONG),
+    ("nonce", _LONG), ("slice", _INT),
     ("tx", T.ArrayType(_struct(
-        ("txid", _STR), ("version", _LONG), ("locktime", _LONG),
+        ("txid", _STR), ("version", _LONG), ("locktime", _LONG), ("piece", _INT),
         ("vin", T.ArrayType(_struct(
             ("coinbase", _STR), ("txid", _STR), ("vout", _LONG),
             ("scriptSig", _struct(("hex", _STR))), ("sequence", _LONG)))),

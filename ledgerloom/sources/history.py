@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import functions as L
-from ledgerloom.operators.broadcasting import MAX_BROADCAST_BLOCKS, broadcast_if_small
+from ledgerloom.operators.broadcasting import broadcast_if_small
 from ledgerloom.operators.conform import conform
 from ledgerloom.operators.normalize import LedgerFrames
 from ledgerloom.schemas import CONFIRMED, KINDS
@@ -60,7 +60,7 @@ def from_history(spark: SparkSession, root: str, loaded_at: str, sep: str = ";",
     placed = raw["blocks"].select(F.col("block_hash").alias("hashBlock"),
                                   F.col("height").alias("block_height"), when)
     transactions = raw["transactions"].join(
-        broadcast_if_small(placed, MAX_BROADCAST_BLOCKS), "hashBlock").select(
+        broadcast_if_small(placed), "hashBlock").select(
         *history_columns("transactions"), "block_height", "block_timestamp", *stamps)
     owner = transactions.select("txid", F.col("hashBlock").alias("block_hash"), "block_height",
                                 "block_timestamp")

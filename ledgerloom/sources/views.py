@@ -33,7 +33,6 @@ NBITS_HEX = "1d00ffff"
 NONCE_STEP = 2654435761
 CONTROL_HEIGHTS = 2405
 TXS_PER_DOCUMENT = 4096
-MAX_DAYS = 2_000_000
 
 
 class LedgerViews:
@@ -167,18 +166,21 @@ class LedgerViews:
     def documents(self) -> DataFrame:
         """Block documents as typed rows, a block's transactions nested below its header.
 
-        A day with very many orders yields several documents with the same
-        header, each holding a bounded share of the transactions. An order with
-        very many lines appears in several of them, with its inputs in one only.
-        The rows this repeats are identical and fall to the identity dedupe.
+        A day's slice 0 stands for its header and holds no transactions; slices 1,
+        2, ... hold a bounded share of them each. Piece 0 of an order stands for
+        the transaction and has its inputs; an order with very many lines has them
+        in pieces 1, 2, ..., any other in piece 0, too.
         """
         tx = self._nested_transactions()
         day_sizes = (self._orders().groupBy("h").agg(F.count("*").alias("n"))
                      .select("h", F.ceil(F.col("n") / TXS_PER_DOCUMENT).alias("parts")))
         part = F.pmod(F.xxhash64("tx.txid", F.size("tx.vout"), F.size("tx.vin")), F.col("parts"))
-        nested = (tx.join(broadcast_if_small(day_sizes, MAX_DAYS), "h").withColumn("part", part)
-                  .groupBy("h", "part").agg(F.collect_list("tx").alias("tx")))
-        h = F.col("h")
+        nested = (tx.join(broadcast_if_small(day_sizes), "h").withColumn("part", part)
+                  .groupBy("h", "part").agg(F.collect_list("tx").alias("tx"))
+                  .select("h", (F.col("part") + 1).cast("int").alias("slice"), "tx"))
+        heads = day_sizes.select("h", F.lit(0).alias("slice"),
+                                 F.array().cast(nested.schema["tx"].dataType).alias("tx"))
+        nested, h = nested.unionByName(heads), F.col("h")
         return nested.select(
             self.block_hash(h).alias("hash"),
             h.cast("bigint").alias("height"),
@@ -189,6 +191,7 @@ class LedgerViews:
             self._time(h).alias("time"),
             F.lit(NBITS_HEX).alias("bits"),
             (h.cast("bigint") * F.lit(NONCE_STEP) % F.lit(4294967296)).alias("nonce"),
+            "slice",
             "tx",
         )
 
@@ -217,7 +220,8 @@ class LedgerViews:
         vins = F.when(F.coalesce("piece", F.lit(0)) == 0, F.col("vin")).otherwise(
             F.array().cast(inputs.schema["vin"].dataType))
         return joined.select("h", F.struct(
-            "txid", "version", "locktime", vins.alias("vin"), vouts.alias("vout")).alias("tx"))
+            "txid", "version", "locktime", F.coalesce("piece", F.lit(0)).alias("piece"),
+            vins.alias("vin"), vouts.alias("vout")).alias("tx"))
 
     def _in_pieces(self, lines: DataFrame, vout: Column) -> DataFrame:
         """(txid, piece, vout): one piece 0 per ordinary order.
@@ -232,7 +236,8 @@ class LedgerViews:
         pieces = F.create_map(*[F.lit(x) for txid, rows in hot.items()
                                 for x in (txid, max(2, 8 * rows // limit))])
         mine = F.try_element_at(pieces, F.col("txid"))
-        piece = F.coalesce(F.floor(F.rand(5) * mine).cast("int") + 1, F.lit(0))
+        dealt_to = F.pmod(F.xxhash64(*lines.columns), mine).cast("int") + 1
+        piece = F.coalesce(dealt_to, F.lit(0))
         dealt = lines.withColumn("piece", piece).groupBy("txid", "piece").agg(
             F.collect_list(vout).alias("vout"))
         heads = self.spark.createDataFrame([(txid, 0) for txid in hot], "txid string, piece int")
