@@ -31,12 +31,17 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Cuts the lineage: writes ``df`` below the shared folder and reads it from there."""
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Writes ``df`` below the shared folder; what is read from there, and the folder."""
     spark = df.sparkSession
     path = storage.new_dir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Cuts the lineage: ``df`` as written below the shared folder and read from there."""
+    return written_at(df, label)[0]
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:

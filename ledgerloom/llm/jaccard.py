@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom import storage
 from ledgerloom.llm import common
 from ledgerloom.llm.common import MIX as _MIX
 from ledgerloom.llm.common import mixed as _mix
@@ -156,11 +157,13 @@ class JaccardJoin:
         common.small_batches(self.spark)
         self.ngram, self.percent = ngram, percent
         self.frequent: DataFrame | None = None
+        self.posted: DataFrame | None = None
         self.docs = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                                 F.col(text_col).alias("text")).where("doc_id is not null")
-        self.signed = common.written(self.docs.mapInArrow(
+        self.whole, self.path = common.written_at(self.docs.mapInArrow(
             _signatures(ngram, percent),
             "doc_id long, n long, node long, parity array<long>, prefix array<long>"), "signed")
+        self.signed = common.written(self.whole.drop("prefix"), "sizes")
         self.nodes = common.written(
             self.signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
             .join(self.signed.select(F.col("doc_id").alias("first"), "n", "parity"), "first")
@@ -181,7 +184,10 @@ class JaccardJoin:
 
     def _postings(self) -> DataFrame:
         """(gram, node, n, pos, least) for every n-gram in the prefixes of two nodes or more."""
-        late, bits = self._late(self.signed.select(F.explode("prefix").alias("gram")))
+        if self.posted is not None:
+            return self.posted
+        late, bits = self._late(self.whole.select(F.explode("prefix").alias("gram")))
+        storage.delete(self.spark, self.path)  # the prefixes of the first order are done with
         members = self.docs.select("text").mapInArrow(
             _crowded(self.ngram, self.percent, late, bits), "gram long")
         late, bits = self._late(members)
@@ -193,7 +199,8 @@ class JaccardJoin:
         shared = (index.groupBy("gram").agg(F.min("pos").alias("least"), F.count("*").alias("c"))
                   .where("c > 1").drop("c"))
         sizes = self.nodes.select("node", "n")
-        return common.written(index.join(shared, "gram").join(sizes, "node"), "postings")
+        self.posted = common.written(index.join(shared, "gram").join(sizes, "node"), "postings")
+        return self.posted
 
     def _filtered(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that the length and suffix filters cannot rule out."""
