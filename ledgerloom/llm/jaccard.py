@@ -194,7 +194,7 @@ class JaccardJoin:
         prefixes = self.docs.mapInArrow(_prefixes(self.ngram, self.percent, late, bits),
                                         "doc_id long, prefix array<long>")
         keys = self.nodes.select(F.col("first").alias("doc_id"), "node")
-        index = (prefixes.join(keys, "doc_id").dropDuplicates(["node"])
+        index = (prefixes.join(keys, "doc_id").dropDuplicates(["doc_id", "node"])
                  .select("node", F.posexplode("prefix").alias("pos", "gram")))
         shared = (index.groupBy("gram").agg(F.min("pos").alias("least"), F.count("*").alias("c"))
                   .where("c > 1").drop("c"))
