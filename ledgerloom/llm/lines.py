@@ -2,20 +2,25 @@
 
 A line goes down the tree by its number of words and its first ``DEPTH`` words;
 words with a digit, an ``@`` or ``://`` are variable fields and count as one
-wildcard. Lines of a leaf that agree in every word make one template. So do lines
-of a leaf of ``SPLIT`` words or more whose other words agree in all but one of
-four parts: the words that differ there are variable fields too. A template that
-recurs across documents (``LONG_DOCS`` for lines of ``LONG`` words or more,
-``SHORT_DOCS`` for shorter ones) is dropped from all of them but the first, the
-one with the smallest id. Lines under ``LEAST`` words stay.
+wildcard. Lines of a leaf that agree in every word make one template, which recurs
+from ``DOCS`` documents on, whatever its length. So do lines of a leaf of ``SPLIT``
+words or more whose other words agree in all but one of four parts: the words that
+differ there are variable fields too, but only from ``FIELD_DOCS`` documents on, as
+two lines do not tell a field from a text of its own. A template that recurs is
+dropped from all documents but the first, the one with the smallest id. Lines under
+``LEAST`` words stay.
+
+A document is judged as a whole before its lines are. Equal texts are one document
+here. So is a document with the first one of at least ``COPY_LINES`` of its lines,
+where what would be left of both reaches ``COPY`` of their union in words: it is a
+near copy. A copy keeps and loses the lines its original does, so that it can still
+be found to be one, and does not make a line recur.
 
 A line's word count, leaf and parts are numbers, so the tree is a grouping: every
 document sends each of its templates once, equal ones are summed before they are
 shuffled, and only templates that recur go back to their documents.
 
-Null texts stay null, and empty ones empty. Rows that repeat id and text
-are one document when it is asked whether a line is anywhere else, and count as
-often as they come. Rows without an id are never the first. Columns of the result's names
+Null texts stay null, and empty ones empty. Rows without an id are never the first. Columns of the result's names
 are replaced; all others pass through.
 """
 
@@ -35,9 +40,10 @@ DEPTH = 3
 LEAST = 5
 SPLIT = 12
 PARTS = 4
-LONG = 50
-LONG_DOCS = 2
-SHORT_DOCS = 3
+DOCS = 2
+FIELD_DOCS = 3
+COPY = 0.8
+COPY_LINES = 2
 
 _VARIABLE = np.zeros(256, bool)
 _VARIABLE[[*range(48, 58), 64]] = True  # digits and @
@@ -83,16 +89,29 @@ def line_keys(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each template of a document, and one of line -1 with the words of its lines."""
     for b in batches:
         lines, flat = _line_texts(b.column(2).to_pylist())
         owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+        start = np.cumsum([0, *map(len, lines)])
         line, key, words = line_keys(flat)
-        table = np.stack([owner[line], key, words], 1)
-        table = np.unique(table, axis=0)
-        row = pa.array(table[:, 0])
+        size = np.array([len(x.split()) for x in flat.to_pylist()], np.int64)
+        own = np.r_[True, line[1:] > line[:-1]].cumprod().astype(bool)[:len(line)]
+        # of equal lines of a document only the first counts
+        _, at = np.unique(np.stack([owner[line[own]], key[own]], 1), axis=0, return_index=True)
+        once = np.ones(len(flat), bool)
+        once[line[own]] = False
+        once[line[own][at]] = True
+        total = np.bincount(owner[once], size[once], len(lines)).astype(np.int64)
+        some = once[line]
+        line, key, words, own = line[some], key[some], words[some], own[some]
+        row = pa.array(np.r_[owner[line], np.arange(len(lines))])
+        none = np.full(len(lines), -1)
         yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(row), b.column(1).take(row), pa.array(table[:, 1]),
-             pa.array(table[:, 2])], names=["doc", "doc_id", "key", "words"])
+            [b.column(0).take(row), b.column(1).take(row), pa.array(np.r_[line - start[owner[line]], none]),
+             pa.array(np.r_[own, none > 0]), pa.array(np.r_[key, none]),
+             pa.array(np.r_[words, total])],
+            names=["content", "doc_id", "line", "own", "key", "words"])
 
 
 @F.arrow_udf(T.StructType().add("text", T.StringType()).add("lines", T.LongType())
@@ -116,28 +135,55 @@ def _without(texts: pa.Array, keys: pa.Array) -> pa.Array:
         names=["text", "lines", "dropped"])
 
 
+def _dropped(found: DataFrame) -> DataFrame:
+    """(content, key): the templates each text loses."""
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "content")))
+    recurring = (found.where("line >= 0").groupBy("key")
+                 .agg(F.min("content").alias("a"), F.max("content").alias("b"),
+                      first.alias("first"))
+                 .where("a != b and first is not null"))  # DOCS is two
+    hits = common.written(
+        found.where("line >= 0").drop("doc_id").join(recurring, "key"), "recurring")
+    # FIELD_DOCS is three: one more than the smallest and the largest
+    fields = hits.where("not own and content != a and content != b").select("key").distinct()
+    hits = (hits.where("own").unionByName(hits.where("not own").join(fields, "key", "left_semi"))
+            .where("first.content != content"))
+    # equal texts number their lines alike; a line's first document is its templates' smallest
+    by_line = (hits.groupBy("content", "line")
+               .agg(F.min("first")["content"].alias("first"), F.max("words").alias("words")))
+    shared = (by_line.groupBy("content", "first")
+              .agg(F.sum("words").alias("shared"), F.count("*").alias("n")))
+    elsewhere = shared.groupBy("content").agg(F.sum("shared").alias("gone"))
+    left = (found.where("line < 0").groupBy("content").agg(F.first("words").alias("words"))
+            .join(elsewhere, "content", "left")
+            .select("content", (F.col("words") - F.coalesce("gone", F.lit(0))).alias("left")))
+    copies = (shared.where(F.col("n") >= COPY_LINES).join(left, "content")
+              .join(left.select(F.col("content").alias("first"), F.col("left").alias("whole")),
+                    "first")
+              .where(F.col("shared") >= COPY * (F.col("left") + F.col("whole")))
+              .groupBy("content").agg(F.max_by("first", F.struct("shared", "first")).alias("of")))
+    return (hits.select("content", "key", F.col("first.content").alias("first"))
+            .join(copies, "content", "left")
+            .where("of is null or first != of").select("content", "key"))
+
+
 def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
     """``docs`` with recurring lines dropped from their texts, and two counts."""
     common.small_batches(docs.sparkSession)
-    doc = F.xxhash64(F.col(id_col), F.col(text_col))
-    at, keys, out = common.unused(docs, "_doc", "_keys", "_done")
+    content = F.coalesce(F.when(F.col(text_col).isNotNull(), F.xxhash64(F.col(text_col))),
+                         F.xxhash64(F.col(id_col), F.lit("")))
+    at, keys, out = common.unused(docs, "_content", "_keys", "_done")
     found = common.written(
         docs.where(F.col(text_col).isNotNull())
-        .select(doc.alias("doc"), F.col(id_col).cast("long").alias("doc_id"),
+        .select(content.alias("content"), F.col(id_col).cast("long").alias("doc_id"),
                 F.col(text_col).alias("text"))
-        .mapInArrow(_templates, "doc long, doc_id long, key long, words long"), "templates")
-    enough = F.when(F.col("words") >= LONG, LONG_DOCS).otherwise(SHORT_DOCS)
-    recurring = (found.groupBy("key", "words")
-                 .agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"),
-                      F.min("doc").alias("a"), F.max("doc").alias("b"))
-                 .where((F.col("docs") >= enough) & (F.col("a") != F.col("b")))
-                 .select("key", "first"))
-    drops = (found.select("doc", "doc_id", "key").join(recurring, "key")
-             .where(~F.col("doc_id").eqNullSafe(F.col("first")))
-             .groupBy(F.col("doc").alias(at)).agg(F.collect_set("key").alias(keys)))
+        .mapInArrow(_templates, "content long, doc_id long, line long, own boolean, key long, "
+                                "words long"), "templates")
+    drops = (_dropped(found).groupBy(F.col("content").alias(at))
+             .agg(F.collect_set("key").alias(keys)))
     kept = [c for c in docs.columns if c not in (n_lines, n_dropped)]
-    marked = docs.select(*kept, doc.alias(at)).join(drops, at, "left")
+    marked = docs.select(*kept, content.alias(at)).join(drops, at, "left")
     done = marked.select(*kept, _without(F.col(text_col), F.coalesce(
         keys, F.array().cast("array<long>"))).alias(out))
     text = F.col(out)["text"].alias(text_col)

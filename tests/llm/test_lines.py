@@ -1,9 +1,11 @@
 """Templates of the line tree, and what is dropped where."""
 
+import random
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lines
+from ledgerloom.llm import jaccard, lines
 
 WIDE = "one two three four five six seven eight nine ten eleven twelve"
 
@@ -41,6 +43,39 @@ def test_recurring_lines_stay_in_the_first_document_only(spark):
                    (7, "twice only here ok so", 1, 0)}
 
 
+def prose(rng, sizes):
+    return "\n".join(" ".join(f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.randrange(16**5):x}"
+                              .translate(DIGITS) for _ in range(n)) for n in sizes)
+
+
+DIGITS = str.maketrans("0123456789", "ghijklmnop")
+SIZES = [3, 8, 60, 20, 6, 55, 14, 30]
+
+
+def test_copies_of_mixed_line_lengths_stay_whole_and_leave_one(spark):
+    rng = random.Random(5)
+    pair, three, near, own = (prose(rng, SIZES) for _ in range(4))
+    edited = near.replace(near.split("\n")[4], "some other six words stand here")
+    notice = "a notice of eight words stands right here"
+    rows = [(1, pair), (2, three), (3, near), (4, own + "\n" + notice), (11, pair), (12, three),
+            (13, edited), (22, three), (24, notice + "\n" + prose(rng, SIZES))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    done = lines.dedupe_lines(docs)
+    got = {r.doc_id: r.text for r in done.collect()}
+    assert {k: t for k, t in rows if got[k] != t}.keys() == {24}
+    assert got[24] == rows[-1][1].split("\n", 1)[1]
+    groups = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(done).collect()}
+    assert {k: groups.get(k, k) for k, _ in rows} == {1: 1, 11: 1, 2: 2, 12: 2, 22: 2, 3: 3, 13: 3,
+                                                      4: 4, 24: 24}
+
+
+def test_two_wide_lines_do_not_make_a_field(spark):
+    rng = random.Random(6)
+    wide = prose(rng, [60])
+    other = wide.rsplit(" ", 10)[0] + " " + prose(rng, [10])
+    assert dropped(spark, [(1, wide), (2, other)]) == {(1, wide, 1, 0), (2, other, 1, 0)}
+
+
 def test_a_line_repeated_in_one_document_stays(spark):
     text = "\n".join(["the same old line again and again"] * 5)
     assert dropped(spark, [(1, text), (2, "other")]) == {(1, text, 5, 0), (2, "other", 1, 0)}
