@@ -30,8 +30,11 @@ WINDOW = 96            # bytes that one run of the states covers
 HIDDEN = 8             # of each direction
 SAMPLE_TEXTS = 700     # texts learned from per language, about
 CUTS = 3               # windows cut out of each
-MAX_LANGUAGES = 64     # languages learned, the most frequent ones first
-AT_ONCE = 1024         # windows run side by side
+AT_ONCE = 1024         # windows run side by side, fewer with very many languages
+EACH = 48              # windows of each language in a training step, as far as memory goes
+STEPS = 260            # training steps; more where a step has few windows of a language
+SEEN = 3000            # windows of a language in all steps, at least
+CELLS = 1 << 25        # labels' probabilities of a training step, at most
 
 _CODES = np.zeros(256, np.int64)  # 0: anything but a letter
 _CODES[65:91] = _CODES[97:123] = np.arange(1, 27)
@@ -97,18 +100,30 @@ def _back(codes, w_state, kept, grad_out):
     return g_in, g_state
 
 
-def train(codes: np.ndarray, label: np.ndarray, languages: list[str], steps: int = 260,
-          batch: int = 192, rate: float = 0.02, seed: int = 3) -> Model:
-    """Adam on the mean cross-entropy of all positions' labels."""
+def train(codes: np.ndarray, label: np.ndarray, languages: list[str], steps: int | None = None,
+          batch: int | None = None, rate: float = 0.02, seed: int = 3) -> Model:
+    """Adam on the mean cross-entropy of all positions' labels.
+
+    The batch grows with the languages, and where it may not, the steps do; a step
+    of fewer windows than languages takes some of them in turn.
+    """
     rng = np.random.default_rng(seed)
     names, h = len(languages), HIDDEN
+    if batch is None:
+        batch = max(1, min(max(192, EACH * names), CELLS // (WINDOW * names)))
+    if steps is None:
+        steps = max(STEPS, -(-SEEN * names // batch))
     p = [rng.normal(0, 0.3, (2, SYMBOLS, 3 * h)).astype(np.float32),
          rng.normal(0, 0.3, (2, h, 3 * h)).astype(np.float32),
          rng.normal(0, 0.3, (2 * h, names)).astype(np.float32), np.zeros(names, np.float32)]
     first, second = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
     by_label = [np.flatnonzero(label == k) for k in range(names)]
+    turn = rng.permutation(names) if batch < names else np.arange(names)
     for step in range(1, steps + 1):
-        take = np.concatenate([rng.choice(b, max(1, batch // names)) for b in by_label])
+        now_learned = turn[:batch]
+        turn = np.roll(turn, -batch) if batch < names else turn
+        take = np.concatenate([rng.choice(by_label[k], max(1, batch // names))
+                               for k in now_learned])
         x, y = codes[take], label[take]
         kept = [[], []]
         out = np.concatenate([_run(x, p[0][0], p[1][0], kept[0]),
@@ -183,6 +198,7 @@ class Runner:
         length = np.zeros(len(texts))
         labels: list[list[np.ndarray]] = [[] for _ in texts]
         owner, rows = [], []
+        at_once = max(1, min(AT_ONCE, (CELLS >> 2) // (WINDOW * len(self.m.languages))))
 
         def flush():
             codes = np.zeros((len(rows), WINDOW), np.int64)
@@ -203,7 +219,7 @@ class Runner:
             c = codes_of(text)
             for at in range(0, len(c), WINDOW):
                 owner.append(d), rows.append(c[at:at + WINDOW])
-                if len(rows) == AT_ONCE:
+                if len(rows) == at_once:
                     flush()
         if rows:
             flush()
@@ -213,7 +229,7 @@ class Runner:
 
 
 def fit(docs: DataFrame, learn_from=None, per_language: int = SAMPLE_TEXTS) -> Model | None:
-    """Learns the values of ``lang`` from about ``per_language`` texts of each.
+    """Learns every value of ``lang`` from about ``per_language`` texts of each.
 
     Texts are picked by a hash of the id, and windows at places given by the same
     hash, anywhere in the text; nothing but these windows comes to the driver.
@@ -221,8 +237,7 @@ def fit(docs: DataFrame, learn_from=None, per_language: int = SAMPLE_TEXTS) -> M
     known = docs.where("lang is not null and text is not null and length(text) > 0")
     known = known.where(learn_from) if learn_from is not None else known
     known = known.where(F.col("text").rlike(r"\p{L}"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    found = sorted((r["lang"], r["count"]) for r in counts.collect())
+    found = sorted((r["lang"], r["count"]) for r in known.groupBy("lang").count().collect())
     if not found:
         return None
     m = 1 << 30
@@ -236,12 +251,13 @@ def fit(docs: DataFrame, learn_from=None, per_language: int = SAMPLE_TEXTS) -> M
     cuts = (picked.select("lang", F.explode(F.array_distinct(F.array(*places))).alias("cut"))
             .orderBy("lang", "cut").collect())
     names = [lang for lang, _ in found]
+    number = {lang: k for k, lang in enumerate(names)}
     rows, label = [], []
     for r in cuts:
         c = codes_of(r["cut"].encode())[:WINDOW]
         if (c > 0).any():
             rows.append(np.pad(c, (0, WINDOW - len(c)), mode="wrap"))
-            label.append(names.index(r["lang"]))
+            label.append(number[r["lang"]])
     present = sorted(set(label))
     names = [names[k] for k in present]
     label = np.searchsorted(present, label)

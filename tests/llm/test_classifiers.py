@@ -47,6 +47,25 @@ def test_language_holds_on_texts_not_learned_from(spark):
     assert rows.score.between(0, 1).all()
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    names = [f"l{k:03d}" for k in range(70)]
+    docs = spark.createDataFrame([(k, f"text of number {chr(97 + k % 26)} " * 9, names[k % 70])
+                                  for k in range(140)], "doc_id long, text string, lang string")
+    whole, seen = language.train, []
+
+    def short(codes, label, languages):
+        seen.extend(label)
+        return whole(codes, label, languages, steps=2)
+    monkeypatch.setattr(language, "train", short)
+    m = language.fit(docs)
+    assert m.languages == names and set(seen) == set(range(70)) and m.b_out.shape == (70,)
+    # a step with fewer windows than languages reaches all of them in turn
+    rng = np.random.default_rng(0)
+    few = whole(rng.integers(0, 20, (70, language.WINDOW)), np.arange(70), names, steps=7, batch=10)
+    assert np.isfinite(few.w_out).all()
+    assert language.Runner(few).documents([b"some text"])[0].shape == (70,)
+
+
 def test_gradients_through_time(monkeypatch):
     monkeypatch.setattr(language, "WINDOW", 6)
     rng = np.random.default_rng(1)
