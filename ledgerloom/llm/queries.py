@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import storage
-from ledgerloom.llm import (bpe, fingerprints, html, jaccard, language, lines, packing, sharding,
-                            toxicity, vectors)
+from ledgerloom.llm import (bpe, divergence, fingerprints, html, jaccard, language, lines, packing,
+                            pieces, sharding, toxicity, vectors, whitening)
 from ledgerloom.llm.common import in_fold, read
 
 
@@ -73,7 +73,27 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str,
+                       model: str = public_tokenizers.path("piece_bpe_32k.model")) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.encode_decode(docs, pieces.Vocabulary(model), check="agrees")
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(listed, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done, _ = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return whitening.by_component(done)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_language, op3_jaccard_join, op4_bpe, op5_packing, op6_near_vectors,
-    op7_line_dedup, op8_sharding, op9_fingerprints, op10_html)}
-ORACLES: dict[str, str] = {}
+    op7_line_dedup, op8_sharding, op9_fingerprints, op10_html, op11_divergence,
+    op12_sentencepiece, op13_whitening)}
+ORACLES: dict[str, str] = {"op11_divergence": divergence.SQL}
