@@ -17,9 +17,11 @@ from ledgerloom.schemas import (
     COINBASE_INDEX,
     KINDS,
     OBSERVED,
+    TOPIC_FIGURES,
     WIRE_SCHEMA_VERSION,
     ZERO_HASH,
 )
+from ledgerloom.sources import completeness
 
 
 @dataclass(frozen=True)
@@ -183,16 +185,39 @@ def to_messages(frames: LedgerFrames) -> DataFrame:
     return out
 
 
+def document_figures(documents: DataFrame) -> DataFrame:
+    """(block_hash, slice, height, table_name, rows, digest): what each document holds."""
+    documents = _numbered(documents)
+    return (documents.select(F.col("hash").alias("block_hash"), F.coalesce("slice", F.lit(0)).cast(
+                "int").alias("slice"), F.col("height").cast("int").alias("height"),
+            F.explode(_figures()).alias("f"))
+            .select("block_hash", "slice", "height", "f.*"))
+
+
+def _figures() -> Column:
+    return completeness.document_figures(F.col("hash"), F.col("tx"), _is_first(F.col("slice")),
+                                         lambda t: _is_first(t["piece"]))
+
+
+def _figures_message() -> Column:
+    fields = [F.col("hash").alias("block_hash"), F.coalesce("slice", F.lit(0)).alias("slice"),
+              F.col("height").alias("height"), _figures().alias("figures")]
+    return _message(TOPIC_FIGURES, F.col("hash"), fields)
+
+
 def document_messages(documents: DataFrame, observed_at: str | None = None,
-                      source_seq: Column | int | None = None) -> DataFrame:
+                      source_seq: Column | int | None = None, figures: bool = False) -> DataFrame:
     """All four topics of a frame of documents in one pass over the documents.
 
     The records of a block are built in place and exploded once, so the
-    documents are read and parsed a single time instead of once per topic.
+    documents are read and parsed a single time instead of once per topic. With
+    ``figures`` each document is followed by a message of its own topic that says how
+    many records it holds.
     """
     documents, stamp = _numbered(documents), _stamp(observed_at, source_seq)
+    told = [_figures_message().alias("told")] if figures else []
     row = documents.select(_header(documents.columns), "slice", "tx",
-                           stamp.source_seq.alias("_seq"))
+                           stamp.source_seq.alias("_seq"), *told)
     b = F.col("b")
     block_stamp = _Stamp(stamp.observed_at, F.col("_seq"))
 
@@ -226,5 +251,6 @@ def document_messages(documents: DataFrame, observed_at: str | None = None,
         F.transform(F.filter("tx", lambda t: _is_first(t["piece"])), tx_message),
         F.flatten(F.transform("tx", vin_messages)),
         F.flatten(F.transform("tx", vout_messages)),
+        *([F.array("told")] if figures else []),
     )
     return row.select(F.explode(messages).alias("m")).select("m.*")

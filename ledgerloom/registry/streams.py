@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.conform import conform
 from ledgerloom.operators.dedupe import dedupe_identity
-from ledgerloom.operators.normalize import LedgerFrames, to_messages
+from ledgerloom.operators.normalize import LedgerFrames, document_messages, to_messages
 from ledgerloom.plans import finality, flat
 from ledgerloom.registry.relations import ALERTS, SEQ_GAPS
 from ledgerloom.registry.scans import FLAT_LIGHT, flat_light
@@ -252,6 +252,26 @@ def flat_with_late_outputs(spark: SparkSession, sf: str) -> DataFrame:
     return flat_light(made.read())
 
 
+def flat_out_of_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The upper half of the chain arrives first, and a fifth of all outputs last.
+
+    Each portion is drained and built; nothing is built short, and all of it in the end.
+    """
+    ws = Workspace(spark, sf)
+    root, lake, checkpoint = ws.new_dir("topics"), ws.new_lake("disorder"), ws.new_dir("checkpoint")
+    made, tip = flat.FlatTable(spark, ws.new_dir("flat")), ws.lake().high_water()
+    messages = document_messages(ws.documents(), SEEN_AT, figures=True)
+    height = F.coalesce(F.get_json_object("value", "$.height"),
+                        F.get_json_object("value", "$.block_height")).cast("int")
+    late = (F.col("topic") == KINDS["tx_out"].topic) & (F.crc32("key") % 5 == 0)
+    upper = height > tip // 2
+    for portion in (upper & ~late, ~upper & ~late, late):
+        topics.publish(messages.where(portion), root)
+        _drain(ws, root, lake, checkpoint)
+        flat.build_incremental(lake, made)
+    return flat_light(made.read())
+
+
 def flat_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Built to fifty heights below the tip, brought up to date, and once more with no effect."""
     ws = Workspace(spark, sf)
@@ -305,6 +325,61 @@ def finality_stream(spark: SparkSession, sf: str) -> DataFrame:
         F.col("height").cast("bigint").alias("height"), "block_hash", "nNonce", "finality_status")
 
 
+def _statuses(lake: Lake) -> DataFrame:
+    return lake.read("blocks").select(
+        F.col("height").cast("bigint").alias("height"), "block_hash", "nNonce", "finality_status")
+
+
+def _apply_control(ws: Workspace, lake: Lake, control: DataFrame, checkpoint: str) -> None:
+    arrived = ws.new_dir("control")
+    control.write.parquet(arrived)
+    source = ws.spark.readStream.schema(control.schema).parquet(arrived)
+    finality.start_finality(source, lake, checkpoint, available_now=True).awaitTermination()
+
+
+def finality_two_checkpoints(spark: SparkSession, sf: str) -> DataFrame:
+    """The newer half of the events comes first; the older half under a checkpoint of its own."""
+    ws = Workspace(spark, sf)
+    lake, control = ws.new_lake("finality"), ws.views.control
+    lake.append("blocks", ws.stored().blocks, "load")
+    middle = control.agg(F.max("offset")).first()[0] // 2
+    for part in (control.where(F.col("offset") > middle), control.where(F.col("offset") <= middle)):
+        _apply_control(ws, lake, part, ws.new_dir("checkpoint"))
+    return _statuses(lake)
+
+
+def replay_after_finality(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks are appended, changed by events, and appended again as after a crash.
+
+    Statuses are applied both ways, as a stream and by copy-on-write.
+    """
+    ws = Workspace(spark, sf)
+    lake, checkpoint, control = ws.new_lake("replay"), ws.new_dir("checkpoint"), ws.views.control
+    _drain_and_crash(ws, ws.topics_dir(), lake, checkpoint)
+    middle = control.agg(F.max("offset")).first()[0] // 2
+    _apply_control(ws, lake, control.where(F.col("offset") <= middle), ws.new_dir("checkpoint"))
+    finality.apply_finality(lake, control.where(F.col("offset") > middle))
+    _drain(ws, ws.topics_dir(), lake, checkpoint)
+    return _statuses(lake)
+
+
+def compact_during_update(spark: SparkSession, sf: str) -> DataFrame:
+    """A compaction runs between the staging of a status update and its swap."""
+    ws = Workspace(spark, sf)
+    lake, blocks, tip = ws.new_lake("during"), ws.stored().blocks, ws.lake().high_water()
+    lake.append("blocks", blocks.where(F.col("height") <= tip // 2), "first")
+    lake.append("blocks", blocks.where(F.col("height") > tip // 2), "second")
+    swap_in = lake._swap_in
+
+    def compact_first(*args: str) -> None:
+        lake.compact("blocks", "1")
+        swap_in(*args)
+
+    lake._swap_in = compact_first
+    finality.apply_finality(lake, ws.views.control)
+    return _statuses(lake)
+
+
 def finality_rejects(spark: SparkSession, sf: str) -> DataFrame:
     lake = _finality_streamed(Workspace(spark, sf))
     return finality.rejected_events(lake).groupBy("reason").agg(F.count("*").alias("events"))
@@ -363,6 +438,38 @@ def seq_gaps_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select("expected", "seq", "missed")
 
 
+def seq_gaps_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers arrive in no order, some of them twice; late ones close their gaps."""
+    ws = Workspace(spark, sf)
+    arrived, out, checkpoint = ws.new_dir("notify"), ws.new_dir("gaps"), ws.new_dir("checkpoint")
+    notes = ws.views.notifications
+    lot = F.crc32(F.col("seq").cast("string"))
+    for part in (lot % 3 == 2, lot % 3 == 0, lot % 6 < 4):
+        notes.where(part).write.mode("append").parquet(arrived)
+        source = spark.readStream.schema(notes.schema).parquet(arrived)
+        start_sequence_gaps(spark, source, out, checkpoint, available_now=True).awaitTermination()
+    return spark.read.parquet(out).select("expected", "seq", "missed")
+
+
+def alert_cooldown_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs are split over two arrivals: every tenth check of the first half comes late."""
+    ws = Workspace(spark, sf)
+    arrived, out, checkpoint = ws.new_dir("health"), ws.new_dir("alerts"), ws.new_dir("checkpoint")
+    checks = ws.views.health
+    edges = checks.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    middle = edges.lo + (edges.hi - edges.lo) / 2
+    days = (edges.hi - edges.lo).days + 1
+    early = F.col("ts") < F.lit(middle).cast("timestamp_ntz")
+    tenth = F.crc32(F.col("ts").cast("string")) % 10 == 0
+    for part in (early & ~tenth, ~early | tenth):
+        checks.where(part).write.mode("append").parquet(arrived)
+        source = spark.readStream.schema(checks.schema).parquet(arrived)
+        start_alerts(spark, source, out, checkpoint, every=60, available_now=True,
+                     lateness=f"{days} days").awaitTermination()
+    sent = spark.read.schema("service INT, run BIGINT").parquet(out)
+    return sent.select(F.col("service").cast("bigint").alias("service"), "run")
+
+
 def alert_cooldown_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Check runs arriving by time; the state per service is its last alert."""
     ws = Workspace(spark, sf)
@@ -409,8 +516,12 @@ QUERIES = {
         stream_second_checkpoint, compact_then_replay, compact_while_ingesting, dedup_stream,
         catchup_range, catchup_repeated, catchup_after_failure, backfill_two_dumps,
         flat_incremental, flat_incremental_overlap, flat_with_late_outputs, finality_stream,
-        finality_rejects, flat_refresh_status, finality_apply, quarantine, seq_gaps_stream, alert_cooldown_stream)
+        finality_rejects, flat_refresh_status, finality_apply, quarantine, seq_gaps_stream,
+        alert_cooldown_stream, flat_out_of_order, finality_two_checkpoints, replay_after_finality,
+        compact_during_update, seq_gaps_late, alert_cooldown_late)
 }
+_STATUSES = ledger("""SELECT CAST(height AS BIGINT) AS height, block_hash, nNonce,
+    finality_status FROM after""", "blocks", "control", changes=_CHANGES, after=_AFTER)
 ORACLES = {
     "publish_stream": ledger(" UNION ALL ".join(
         f"SELECT '{k.topic}' AS topic, count(*) AS distinct_keys FROM "
@@ -462,6 +573,12 @@ ORACLES = {
             FROM blocks WHERE height % 50 <> 7
         UNION ALL SELECT 'messages set aside', count(*), {print_of("'blocks'")}
             FROM blocks WHERE height % 50 = 7""", "blocks"),
+    "flat_out_of_order": _FLAT_ONCE,
+    "finality_two_checkpoints": _STATUSES,
+    "replay_after_finality": _STATUSES,
+    "compact_during_update": _STATUSES,
+    "seq_gaps_late": SEQ_GAPS,
+    "alert_cooldown_late": ALERTS,
     "seq_gaps_stream": SEQ_GAPS,
     "alert_cooldown_stream": ALERTS,
 }

@@ -26,6 +26,9 @@ FLAT_RANGE_WIDTH = 100_000
 CONFIRMATIONS = 6
 # ----------------------------------------------------------------------------
 
+# The figures of a block travel beside its records; this topic is the engine's own.
+TOPIC_FIGURES = "ledgerloom.block_figures.v1"
+
 # Layout columns added by the lake; they are not part of any record.
 BUCKET_COL = "height_bucket"
 BATCH_COL = "ingest_batch"
@@ -120,6 +123,11 @@ class RecordKind:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    @property
+    def block_col(self) -> str:
+        """The column that names the record's block."""
+        return "hashBlock" if "hashBlock" in self.columns else "block_hash"
+
 
 KINDS: dict[str, RecordKind] = {
     k.table: k

@@ -1,13 +1,18 @@
-"""The raw tables: partitioned Parquet, appended, updated and compacted in place.
+"""The raw tables: partitioned Parquet, appended and compacted in place.
 
 Layout of a table: ``height_bucket=<b>/ingest_batch=<id>/*.parquet``. A batch id
 names one append. Writing the same batch again replaces its own folders and
-nothing else, which makes a retried or replayed append harmless.
+nothing else, which makes a retried or replayed append harmless. Statuses that
+change later stand in a log beside the blocks (``StatusLog``). Beside each table lie
+the figures of its batches, made when they are first asked for: rows and key digest per
+block. They tell which blocks are whole, count heights and say which batches a
+height range needs.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -18,16 +23,20 @@ from pyspark.sql import types as T
 from ledgerloom import storage
 from ledgerloom.operators.normalize import LedgerFrames
 from ledgerloom.schemas import BATCH_COL, BUCKET_COL, KINDS, RAW_BUCKETS
+from ledgerloom.sources.completeness import DIGEST, EXPECTED, key_digest
+from ledgerloom.sources.status import StatusLog
 
 _LAYOUT = [T.StructField(BUCKET_COL, T.IntegerType()), T.StructField(BATCH_COL, T.StringType())]
 COMPACTED = "compacted"
 _STREAM_BATCH = re.compile(r"(.+)-\d{9}")
-_ASIDE = "_replaced-"
+_ASIDE, _FOLDED = "_replaced-", "_status-"
+_FIGURES = f"{BUCKET_COL} INT, height INT, block_hash STRING, rows BIGINT, digest {DIGEST}"
 
 
 class Lake:
     def __init__(self, spark: SparkSession, root: str, buckets: int = RAW_BUCKETS):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self.status = StatusLog(spark, f"{self.root}/_status")
         for table in KINDS:
             storage.make_dirs(spark, self.path(table))
 
@@ -41,6 +50,7 @@ class Lake:
     def append(self, table: str, records: DataFrame, batch_id: str) -> None:
         """Append conformed records as one batch; the same id again replaces it."""
         kind = KINDS[table]
+        storage.delete(self.spark, f"{self._figures(table)}/{BATCH_COL}={batch_id}")
         laid_out = (records.select(*kind.columns)
                     .withColumn(BUCKET_COL, self.bucket_of(F.col(kind.height_col)))
                     .withColumn(BATCH_COL, F.lit(batch_id)))
@@ -64,11 +74,21 @@ class Lake:
     def overwrite_partitions(self, table: str, laid_out: DataFrame) -> None:
         """Replace exactly the (bucket, batch) folders present in ``laid_out``."""
         columns = [*KINDS[table].columns, BUCKET_COL, BATCH_COL]
+        storage.delete(self.spark, self._figures(table))
         self._write(laid_out.select(*columns), self.path(table))
 
+    def expect(self, figures: DataFrame, batch_id: str) -> None:
+        """Keep what a publisher says its documents hold; the same id again replaces it."""
+        (figures.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in EXPECTED.split(", ")])
+         .write.mode("overwrite").parquet(f"{self.root}/_expected/{BATCH_COL}={batch_id}"))
+
+    def expected(self) -> DataFrame:
+        storage.make_dirs(self.spark, f"{self.root}/_expected")
+        return self.spark.read.schema(EXPECTED).parquet(f"{self.root}/_expected")
+
     # -- reading -----------------------------------------------------------
     def scan(self, table: str) -> DataFrame:
-        """Whole table with its layout columns."""
+        """Whole table as it lies there, with its layout columns."""
         schema = T.StructType(list(KINDS[table].schema.fields) + _LAYOUT)
         return self.spark.read.schema(schema).parquet(self.path(table))
 
@@ -76,8 +96,9 @@ class Lake:
              between: tuple[int, int] | None = None) -> DataFrame:
         """Record columns only, optionally for given heights or a height range.
 
-        Equality and IN also name the buckets, which prunes folders; a range can
-        only use the Parquet statistics, as hashing does not keep order.
+        Equality and IN also name the buckets, which prunes folders. A range names the
+        batches that hold some of it, and uses the Parquet statistics inside them.
+        Blocks come with the status that counts.
         """
         kind = KINDS[table]
         df, height = self.scan(table), F.col(kind.height_col)
@@ -86,14 +107,62 @@ class Lake:
             buckets = [self.bucket_of(F.lit(h)) for h in wanted]
             df = df.where(height.isin(wanted) & F.col(BUCKET_COL).isin(buckets))
         if between is not None:
+            batches = self._batches_within(table, *between)
+            if batches is not None:
+                df = df.where(F.col(BATCH_COL).isin(batches))
             df = df.where(height.between(*between))
-        return df.select(*kind.columns)
+        df = df.select(*kind.columns)
+        return self.status.over(df) if table == "blocks" else df
+
+    # -- figures of the stored batches ---------------------------------------
+    def _figures(self, table: str) -> str:
+        return f"{self.root}/_figures/{table}"
+
+    def arrivals(self, table: str) -> DataFrame:
+        """(height_bucket, ingest_batch, height, block_hash, rows, digest) of every batch.
+
+        Figures are made once a batch, from its key columns. An append forgets those of
+        its batch, a compaction makes those of its generation anew.
+        """
+        path, kind = self._figures(table), KINDS[table]
+        stored = self._batches(self.path(table))
+        known = {n.split("=", 1)[1] for n in storage.child_names(self.spark, path)
+                 if n.startswith(f"{BATCH_COL}=")}
+        for batch in known - stored:
+            storage.delete(self.spark, f"{path}/{BATCH_COL}={batch}")
+        new = sorted(stored - known)
+        if new:
+            part = self.scan(table)
+            if known & stored:
+                part = part.where(F.col(BATCH_COL).isin(new))
+            (part.groupBy(BUCKET_COL, BATCH_COL, F.col(kind.height_col).alias("height"),
+                          F.col(kind.block_col).alias("block_hash"))
+             .agg(F.count("*").alias("rows"),
+                  F.sum(key_digest(*kind.key)).cast(DIGEST).alias("digest"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BATCH_COL).parquet(path))
+        storage.make_dirs(self.spark, path)
+        return self.spark.read.schema(f"{_FIGURES}, {BATCH_COL} STRING").parquet(path)
+
+    def _batches(self, path: str) -> set[str]:
+        return {n.split("=", 1)[1] for bucket in self._buckets(path)
+                for n in storage.child_names(self.spark, f"{path}/{bucket}")
+                if n.startswith(f"{BATCH_COL}=")}
+
+    def _batches_within(self, table: str, lo: int, hi: int) -> list[str] | None:
+        """Batches that hold a height of the range; None where there is nothing to leave out."""
+        if len(self._batches(self.path(table))) < 2:
+            return None
+        return sorted(r[0] for r in self.arrivals(table).where(F.col("height").between(lo, hi))
+                      .select(BATCH_COL).distinct().collect())
 
     def counts_at_heights(self, heights: Sequence[int]) -> DataFrame:
-        """Rows of each table at the given heights, in one job over the pruned folders."""
+        """Rows of each table at the given heights, in one job over the figures of the batches."""
+        wanted = [int(h) for h in heights]
         out = None
         for table in KINDS:
-            part = self.read(table, heights=heights).agg(F.count("*").alias("row_count")).select(
+            rows = self.arrivals(table).where(F.col("height").isin(wanted))
+            part = rows.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count")).select(
                 F.lit(table).alias("table_name"), "row_count")
             out = part if out is None else out.unionByName(part)
         return out
@@ -101,50 +170,53 @@ class Lake:
     def high_water(self, table: str = "blocks", column: str = "height") -> int:
         return self.read(table).agg(F.coalesce(F.max(column), F.lit(-1))).first()[0]
 
-    def complete_height(self) -> int:
-        """The height up to which every table has records, -1 if one has none.
+    # -- statuses ----------------------------------------------------------
+    def set_status(self, changes: DataFrame, portion: str | None = None) -> None:
+        """New statuses (block_hash, finality_status) of stored blocks, one row a block.
 
-        A height's records arrive in order of height in each table, so the table
-        that is furthest behind sets it.
-        """
-        tops = [self.read(t).agg(F.coalesce(F.max(k.height_col), F.lit(-1)).alias("top"))
-                for t, k in KINDS.items()]
-        every = tops[0]
-        for top in tops[1:]:
-            every = every.unionByName(top)
-        return every.agg(F.min("top")).first()[0]
-
-    # -- updating ----------------------------------------------------------
-    def update(self, table: str, changes: DataFrame, on: str, column: str) -> None:
-        """Set ``column`` from ``changes`` (unique per ``on``) by copy-on-write.
-
-        Only folders holding a changed row are rewritten. The new content is
-        staged and counted first, and Spark swaps a folder only when every task
-        has succeeded.
+        The log is written first; from then on every read has them. Then the folders that
+        hold a changed row take them over by copy-on-write, so that plain scans see them,
+        too. A folder that a compaction has taken away meanwhile, or that its stream may
+        still write again, is left to the log.
         """
-        new = changes.select(on, F.col(column).alias("_new"))
-        current = self.scan(table)
-        staging = storage.new_dir(self.spark, f"staging-{table}")
-        new.write.parquet(f"{staging}-changes")
-        new = self.spark.read.schema(new.schema).parquet(f"{staging}-changes")
-        differing = current.join(new, on).where(~F.col(column).eqNullSafe(F.col("_new")))
-        folders = differing.select(BUCKET_COL, BATCH_COL).distinct()
-        folders.write.parquet(f"{staging}-folders")
-        folders = self.spark.read.schema(folders.schema).parquet(f"{staging}-folders")
-        if folders.isEmpty():
+        portion = portion or uuid.uuid4().hex
+        staging = storage.new_dir(self.spark, "status")
+        new = changes.select("block_hash", F.col("finality_status").alias("_new"))
+        current = self.status.over(self.scan("blocks"))
+        differing = current.join(new, "block_hash").where(
+            ~F.col("finality_status").eqNullSafe(F.col("_new")))
+        differing.select("block_hash", F.col("_new").alias("finality_status"), BUCKET_COL,
+                         BATCH_COL).write.parquet(f"{staging}/changes")
+        changed = self.spark.read.parquet(f"{staging}/changes")
+        if changed.isEmpty():
+            storage.delete(self.spark, staging)
             return
-        # a join at every number of folders; Spark prunes the scan by what it holds
-        part = current.join(folders, [BUCKET_COL, BATCH_COL], "left_semi")
-        updated = (part.join(new, on, "left")
-                   .withColumn(column, F.coalesce(F.col("_new"), F.col(column))).drop("_new"))
-        self._write(updated.select(*current.columns), staging)
-        staged = self.spark.read.schema(current.schema).parquet(staging)
-        before, after = part.count(), staged.count()
-        if before != after:
-            raise RuntimeError(f"{table}: staged {after} rows for {before}; table left as it was")
-        self.overwrite_partitions(table, staged)
-        for path in (staging, f"{staging}-changes", f"{staging}-folders"):
-            storage.delete(self.spark, path)
+        self.status.append(changed.select("block_hash", "finality_status", F.lit(None).cast(
+            "bigint").alias("offset")).distinct(), portion)
+        self._fold_status(changed.select(BUCKET_COL, BATCH_COL).distinct(), staging, portion)
+        storage.delete(self.spark, staging)
+
+    def _fold_status(self, folders: DataFrame, staging: str, portion: str) -> None:
+        path = self.path("blocks")
+        settled = self._foldable(path, True)
+        folders = folders.where(F.col(BATCH_COL).isin(settled))
+        part = self.scan("blocks").join(folders, [BUCKET_COL, BATCH_COL], "left_semi")
+        columns = self.scan("blocks").columns
+        self._write(self.status.over(part).select(*columns), f"{staging}/folders")
+        self._swap_in(path, f"{staging}/folders", f"{_FOLDED}{portion}")
+
+    def _swap_in(self, path: str, staged: str, aside: str) -> None:
+        """Puts staged folders in the place of those of the same name that are still there."""
+        for bucket in self._buckets(staged):
+            for batch in storage.child_names(self.spark, f"{staged}/{bucket}"):
+                own = f"{bucket}/{batch}"
+                try:
+                    storage.rename(self.spark, f"{path}/{own}", f"{path}/{aside}/{own}")
+                except OSError:
+                    continue
+                storage.rename(self.spark, f"{staged}/{own}", f"{path}/{own}")
+        storage.delete(self.spark, f"{path}/{aside}")
+        self.spark.catalog.refreshByPath(path)
 
     # -- maintenance -------------------------------------------------------
     def compact(self, table: str, generation: str, everything: bool = False) -> dict[str, int]:
@@ -163,9 +235,12 @@ class Lake:
         batches = self._foldable(path, everything)
         if not batches:
             return {"files_before": files_before, "files_after": files_before}
+        listed = {bucket: set(batches) & self._in_bucket(path, bucket)
+                  for bucket in self._buckets(path)}
         source = self.scan(table).where(F.col(BATCH_COL).isin(batches))
         staging = storage.new_dir(self.spark, f"compact-{table}")
-        (source.withColumn(BATCH_COL, F.lit(new_batch)).hint("rebalance", F.col(BUCKET_COL))
+        folded = self.status.over(source) if table == "blocks" else source
+        (folded.withColumn(BATCH_COL, F.lit(new_batch)).hint("rebalance", F.col(BUCKET_COL))
          .sortWithinPartitions(BUCKET_COL, KINDS[table].height_col)
          .write.option("compression", "zstd").partitionBy(BUCKET_COL, BATCH_COL).parquet(staging))
         rows = source.count()
@@ -174,23 +249,25 @@ class Lake:
             raise RuntimeError(f"{table}: staged {staged} rows for {rows}; table left as it was")
         aside = f"{path}/{_ASIDE}{generation}"
         for bucket in self._buckets(staging):
-            for batch in storage.child_names(self.spark, f"{path}/{bucket}"):
-                if batch.split("=", 1)[1] in batches:
-                    storage.rename(self.spark, f"{path}/{bucket}/{batch}",
-                                   f"{aside}/{bucket}/{batch}")
+            if not listed[bucket] <= self._in_bucket(path, bucket):
+                continue  # another rewrite has one of its folders; the next run takes it
+            for batch in sorted(listed[bucket]):
+                storage.rename(self.spark, f"{path}/{bucket}/{BATCH_COL}={batch}",
+                               f"{aside}/{bucket}/{BATCH_COL}={batch}")
             storage.rename(self.spark, f"{staging}/{bucket}/{BATCH_COL}={new_batch}",
                            f"{path}/{bucket}/{BATCH_COL}={new_batch}")
         storage.delete(self.spark, aside)
         storage.delete(self.spark, staging)
+        storage.delete(self.spark, f"{self._figures(table)}/{BATCH_COL}={new_batch}")
         self.spark.catalog.refreshByPath(path)
+        if table == "blocks":
+            self.status.fold(generation)
         return {"files_before": files_before,
                 "files_after": storage.data_file_count(self.spark, path)}
 
     def _foldable(self, path: str, everything: bool) -> list[str]:
         """Batches a compaction takes in, as they are when it starts."""
-        found = {n.split("=", 1)[1] for bucket in self._buckets(path)
-                 for n in storage.child_names(self.spark, f"{path}/{bucket}")
-                 if n.startswith(f"{BATCH_COL}=")}
+        found = self._batches(path)
         newest: dict[str, str] = {}
         for name in found:
             stream = _STREAM_BATCH.fullmatch(name)
@@ -202,13 +279,19 @@ class Lake:
     def _buckets(self, path: str) -> list[str]:
         return [n for n in storage.child_names(self.spark, path) if n.startswith(f"{BUCKET_COL}=")]
 
+    def _in_bucket(self, path: str, bucket: str) -> set[str]:
+        return {n.split("=", 1)[1] for n in storage.child_names(self.spark, f"{path}/{bucket}")
+                if n.startswith(f"{BATCH_COL}=")}
+
     def _put_right(self, path: str) -> None:
-        """Finish or undo the swaps of an interrupted compaction.
+        """Finish or undo the swaps of an interrupted compaction or status fold.
 
         A bucket that got its compacted folder is done; any other takes its
-        replaced folders back.
+        replaced folders back. A folder whose folded form is missing comes back, too.
         """
         for aside in storage.child_names(self.spark, path):
+            if aside.startswith(_FOLDED):
+                self._take_back(path, aside)
             if not aside.startswith(_ASIDE):
                 continue
             done = f"{BATCH_COL}={COMPACTED}-{aside[len(_ASIDE):]}"
@@ -220,6 +303,14 @@ class Lake:
                                    f"{path}/{bucket}/{batch}")
             storage.delete(self.spark, f"{path}/{aside}")
 
+    def _take_back(self, path: str, aside: str) -> None:
+        for bucket in self._buckets(f"{path}/{aside}"):
+            for batch in storage.child_names(self.spark, f"{path}/{aside}/{bucket}"):
+                if not storage.exists(self.spark, f"{path}/{bucket}/{batch}"):
+                    storage.rename(self.spark, f"{path}/{aside}/{bucket}/{batch}",
+                                   f"{path}/{bucket}/{batch}")
+        storage.delete(self.spark, f"{path}/{aside}")
+
 
 def overwrite_by(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
     """Replace the partitions present in ``df`` and leave all others alone."""

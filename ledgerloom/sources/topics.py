@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.schemas import KINDS, TABLE_OF_TOPIC
+from ledgerloom.schemas import KINDS, TABLE_OF_TOPIC, TOPIC_FIGURES
 
 MESSAGE = "key STRING, value STRING"
+FIGURES = ("block_hash STRING, slice INT, height INT, figures ARRAY<STRUCT<table_name: STRING, "
+           "rows: BIGINT, digest: DECIMAL(38,0)>>")
 
 
 def topic_dir(root: str, topic: str) -> str:
@@ -39,8 +41,17 @@ def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
 
 
 def read_topics(spark: SparkSession, root: str) -> DataFrame:
-    """All messages with their topic."""
-    return spark.read.schema(f"{MESSAGE}, topic STRING").json(root)
+    """All messages with their topic; the figures of the blocks are no records and stay out."""
+    every = spark.read.schema(f"{MESSAGE}, topic STRING").json(root)
+    return every.where(F.col("topic") != TOPIC_FIGURES)
+
+
+def decode_figures(messages: DataFrame) -> DataFrame:
+    """(block_hash, slice, height, table_name, rows, digest) of messages of the figures' topic."""
+    told = F.from_json("value", FIGURES)
+    return (messages.select(told.alias("m")).where(F.col("m.block_hash").isNotNull())
+            .select("m.block_hash", "m.slice", "m.height", F.explode("m.figures").alias("f"))
+            .select("block_hash", "slice", "height", "f.*"))
 
 
 def stream_topic(spark: SparkSession, root: str, topic: str, max_files: int) -> DataFrame:

@@ -60,8 +60,11 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Fails with ``OSError`` where the source is gone or the target cannot be made."""
     fs, src = _fs(spark, source)
     _, dst = _fs(spark, target)
+    if not fs.exists(src):
+        raise OSError(f"{source} is gone")
     fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst):
         raise OSError(f"could not rename {source} to {target}")
