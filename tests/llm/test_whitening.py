@@ -62,7 +62,7 @@ def test_plain_arithmetic(spark):
 
 def test_slabs_add_up(spark, monkeypatch):
     monkeypatch.setattr(whitening, "SLAB_BYTES", 8 * 6 * 40)
-    monkeypatch.setattr(whitening, "FILE_ROWS", 30)
+    monkeypatch.setattr(whitening, "FILE_BLOCKS", 3)
     monkeypatch.setattr(whitening, "BLOCK_ROWS", 8)
     fit = check(spark, vectors_of(random.Random(2), 200, 6), keep=4)
     assert fit.n == 200 and len(fit.eigenvalues) == 4
