@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.broadcasting import MAX_BROADCAST_BYTES
 from ledgerloom.schemas import KINDS
 
 
@@ -23,9 +24,31 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
                       for c in df.columns]))
 
 
+def drop_copies(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """As ``keep_latest`` for a stored frame in which copies are few.
+
+    Keys are counted by their 64-bit hash first, which shuffles 16 bytes a row and sorts
+    nothing. Rows whose hash is alone pass as they are; only the others, copies and
+    the rare collision, are compared as whole rows. Where very many keys have copies, all
+    rows are.
+    """
+    (mark,) = [n for n in ("_key_hash", "_key_hash_") if n not in df.columns][:1]
+    hashed = df.withColumn(mark, F.xxhash64(*keys))
+    twice = hashed.groupBy(mark).count().where("count > 1").select(mark)
+    found = twice.count()
+    if not found:
+        return df
+    if found * 16 > MAX_BROADCAST_BYTES:
+        return keep_latest(df, keys, order)
+    twice = F.broadcast(twice)
+    alone = hashed.join(twice, mark, "left_anti").drop(mark)
+    copies = hashed.join(twice, mark, "left_semi").drop(mark)
+    return alone.unionByName(keep_latest(copies, keys, order))
+
+
 def dedupe_identity(df: DataFrame, table: str) -> DataFrame:
     """Copies left by overlapping replays removed; the last ingested one wins."""
-    return keep_latest(df, KINDS[table].key, ["ingested_at"])
+    return drop_copies(df, KINDS[table].key, ["ingested_at"])
 
 
 def latest_per_key(df: DataFrame, key: str, offset: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import uuid
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.conform import conform
 from ledgerloom.operators.dedupe import dedupe_identity
 from ledgerloom.operators.normalize import LedgerFrames, document_messages, to_messages
-from ledgerloom.plans import finality, flat
+from ledgerloom.plans import distribution, finality, flat
 from ledgerloom.registry.relations import ALERTS, SEQ_GAPS
 from ledgerloom.registry.scans import FLAT_LIGHT, flat_light
 from ledgerloom.registry.sql import ledger, print_of, summary_of
@@ -283,6 +284,23 @@ def flat_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return flat_light(made.read())
 
 
+def flat_by_txid(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat rows and raw outputs, both distributed by txid, meet without a shuffle."""
+    ws, name = Workspace(spark, sf), f"by_txid_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{ws.new_dir('schema')}'")
+    frames = ws.stored()
+    rows = distribution.save_distributed(flat.build_flat(frames, dedup=True), f"{name}.flat",
+                                         ws.new_dir("flat-by-txid"))
+    outs = distribution.save_distributed(frames.tx_out, f"{name}.tx_out", ws.new_dir("out-by-txid"))
+    stored = outs.groupBy("txid").agg(F.count("*").alias("stored_outputs"),
+                                      F.sum("value").alias("stored_value"))
+    return rows.join(stored, "txid", "left").select(
+        "txid", F.col("block_height").cast("bigint").alias("block_height"),
+        F.col("output_count").cast("bigint").alias("output_count"), "total_output_value",
+        F.coalesce("stored_outputs", F.lit(0)).alias("stored_outputs"),
+        F.coalesce("stored_value", F.lit(0)).alias("stored_value"))
+
+
 def flat_refresh_status(spark: SparkSession, sf: str) -> DataFrame:
     """Control events change stored blocks; the flat table follows when asked to."""
     ws = Workspace(spark, sf)
@@ -424,6 +442,23 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(row("messages set aside", aside)))
 
 
+def quarantine_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message of every 50th height is cut short, in all four topics."""
+    ws = Workspace(spark, sf)
+    root, lake = ws.new_dir("topics"), ws.new_lake("quarantine")
+    messages = to_messages(wire_frames(ws.stored()))
+    height = F.coalesce(F.get_json_object("value", "$.height"),
+                        F.get_json_object("value", "$.block_height")).cast("int")
+    topics.publish(messages.withColumn("value", F.when(
+        height % 50 == 7, F.substring("value", 1, 30)).otherwise(F.col("value"))), root)
+    _drain(ws, root, lake, ws.new_dir("checkpoint"))
+    aside = spark.read.parquet(ingest.quarantine_dir(lake)).groupBy("table_name").agg(
+        F.count("*").alias("set_aside"))
+    return _keys(_frames(lake)).join(aside, "table_name", "left").select(
+        "table_name", "row_count", "fingerprint",
+        F.coalesce("set_aside", F.lit(0)).alias("set_aside"))
+
+
 def seq_gaps_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Notifications arriving in four portions, each drained by a restarted query."""
     ws = Workspace(spark, sf)
@@ -519,7 +554,8 @@ QUERIES = {
         flat_incremental, flat_incremental_overlap, flat_with_late_outputs, finality_stream,
         finality_rejects, flat_refresh_status, finality_apply, quarantine, seq_gaps_stream,
         alert_cooldown_stream, flat_out_of_order, finality_two_checkpoints, replay_after_finality,
-        compact_during_update, seq_gaps_late, alert_cooldown_late)
+        compact_during_update, seq_gaps_late, alert_cooldown_late, flat_by_txid,
+        quarantine_topics)
 }
 _STATUSES = ledger("""SELECT CAST(height AS BIGINT) AS height, block_hash, nNonce,
     finality_status FROM after""", "blocks", "control", changes=_CHANGES, after=_AFTER)
@@ -574,7 +610,19 @@ ORACLES = {
             FROM blocks WHERE height % 50 <> 7
         UNION ALL SELECT 'messages set aside', count(*), {print_of("'blocks'")}
             FROM blocks WHERE height % 50 = 7""", "blocks"),
+    "quarantine_topics": ledger(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, {print_of(', '.join(k.key))} "
+        f"AS fingerprint, (SELECT count(*) FROM {t} WHERE {k.height_col} % 50 = 7) AS set_aside "
+        f"FROM {t} WHERE {k.height_col} % 50 <> 7" for t, k in KINDS.items()), *_ALL),
     "flat_out_of_order": _FLAT_ONCE,
+    "flat_by_txid": ledger("""SELECT t.txid, CAST(b.height AS BIGINT) AS block_height,
+        coalesce(once.output_count, 0) AS output_count,
+        coalesce(once.total_output_value, 0) AS total_output_value,
+        coalesce(oc.output_count, 0) AS stored_outputs,
+        coalesce(oc.total_output_value, 0) AS stored_value
+        FROM transactions t JOIN alive b ON t.hashBlock = b.block_hash
+        LEFT JOIN once ON once.txid = t.txid LEFT JOIN oc ON oc.txid = t.txid""",
+                           "transactions", "alive", "oc", "tx_out", once=_OUTPUTS_ONCE),
     "finality_two_checkpoints": _STATUSES,
     "replay_after_finality": _STATUSES,
     "compact_during_update": _STATUSES,

@@ -59,6 +59,10 @@ class Workspace:
         return self._once("topics", lambda p: topics.publish(
             to_messages(wire_frames(self.views.frames())), p))
 
+    def topic_offsets(self) -> DataFrame:
+        return self.spark.read.parquet(self._once(
+            "offsets", lambda p: self.views.topic_offsets().write.parquet(p)))
+
     def lake(self) -> Lake:
         """All four tables, loaded as one batch. Queries must not change it."""
         def load(path: str) -> None:

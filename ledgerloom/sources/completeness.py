@@ -12,6 +12,7 @@ holds some of them; that cannot see a part of a table that is still to come.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import functions as L
 from ledgerloom.operators.broadcasting import broadcast_if_small
-from ledgerloom.schemas import COINBASE_INDEX, KINDS, ZERO_HASH
+from ledgerloom.schemas import BATCH_COL, COINBASE_INDEX, KINDS, ZERO_HASH
 
 if TYPE_CHECKING:
     from ledgerloom.sources.lake import Lake
@@ -74,27 +75,34 @@ def _expected(lake: Lake) -> DataFrame:
         F.max("digest").alias("digest"))
     return once.groupBy("block_hash", "table_name").agg(
         F.max("height").alias("height"), F.sum("rows").alias("want_rows"),
-        F.sum("digest").cast(DIGEST).alias("want_digest"))
+        F.sum("digest").cast(DIGEST).alias("want_digest"), F.max("slice").alias("slices"))
 
 
-def _arrived(lake: Lake) -> DataFrame:
+Snapshot = dict[str, list[str]]
+
+
+def _arrived(lake: Lake, at: Snapshot | None) -> DataFrame:
     out = None
-    for table in KINDS:
-        part = lake.arrivals(table).select(F.lit(table).alias("table_name"), "block_hash", "height",
-                                           "rows", "digest")
+    with ThreadPoolExecutor(len(KINDS)) as pool:   # figures that are still to be made
+        figures = list(pool.map(lake.arrivals, KINDS))
+    for table, rows in zip(KINDS, figures):
+        if at is not None:
+            rows = rows.where(F.col(BATCH_COL).isin(at[table]))
+        part = rows.select(F.lit(table).alias("table_name"), "block_hash", "height", "rows", "digest")
         out = part if out is None else out.unionByName(part)
     return out.groupBy("block_hash", "table_name").agg(
         F.max("height").alias("height"), F.sum("rows").alias("rows"),
         F.sum("digest").cast(DIGEST).alias("digest"))
 
 
-def block_states(lake: Lake) -> DataFrame:
-    """(block_hash, height, state) of every block anybody has announced or sent.
+def block_states(lake: Lake, at: Snapshot | None = None) -> DataFrame:
+    """(block_hash, height, state, once) of every block anybody has announced or sent.
 
     ``whole``; ``copies``: at least as much as announced, to be looked at key by key;
-    ``short``: records are missing.
+    ``short``: records are missing. ``once``: each key of the block is stored once for sure.
+    With ``at`` only the batches of a snapshot count.
     """
-    both = _arrived(lake).withColumnRenamed("height", "at").join(
+    both = _arrived(lake, at).withColumnRenamed("height", "at").join(
         _expected(lake), ["block_hash", "table_name"], "full")
     none = F.lit(0).cast(DIGEST)
     rows, want = F.coalesce("rows", F.lit(0)), F.coalesce("want_rows", F.lit(0))
@@ -103,33 +111,38 @@ def block_states(lake: Lake) -> DataFrame:
         F.max(F.coalesce("height", "at")).alias("height"),
         F.bool_or(F.col("want_rows").isNotNull()).alias("counted"),
         F.bool_and(same).alias("same"), F.bool_and(rows >= want).alias("enough"),
+        F.max("slices").alias("slices"),
         F.count_if(rows > 0).alias("tables"))
     state = (F.when(F.col("counted") & F.col("same"), "whole")
              .when(F.col("counted") & F.col("enough"), "copies")
              .when(~F.col("counted") & (F.col("tables") == len(KINDS)), "whole")
              .otherwise("short"))
-    return judged.select("block_hash", "height", state.alias("state"))
+    once = F.col("counted") & F.col("same") & (F.col("slices") == 0)
+    return judged.select("block_hash", "height", state.alias("state"), once.alias("once"))
 
 
-def whole_blocks(lake: Lake, but: DataFrame | None = None) -> DataFrame:
-    """(block_hash, height) of the whole blocks, without those of ``but`` (block_hash)."""
-    states = block_states(lake)
+def whole_blocks(lake: Lake, but: DataFrame | None = None,
+                 at: Snapshot | None = None) -> DataFrame:
+    """(block_hash, height, once) of the whole blocks, without those of ``but`` (block_hash)."""
+    states = block_states(lake, at)
     if but is not None:
         states = states.join(but.select("block_hash"), "block_hash", "left_anti")
     span = states.where("state = 'copies'").agg(F.min("height").alias("lo"),
                                                 F.max("height").alias("hi")).first()
-    whole = states.where("state = 'whole'").select("block_hash", "height")
+    whole = states.where("state = 'whole'").select("block_hash", "height", "once")
     if span.lo is None:
         return whole
     copies = states.where("state = 'copies'").select("block_hash", "height")
-    return whole.unionByName(_whole_by_key(lake, copies, (span.lo, span.hi)))
+    found = _whole_by_key(lake, copies, (span.lo, span.hi), at)
+    return whole.unionByName(found.withColumn("once", F.lit(False)))
 
 
-def _whole_by_key(lake: Lake, blocks: DataFrame, span: tuple[int, int]) -> DataFrame:
+def _whole_by_key(lake: Lake, blocks: DataFrame, span: tuple[int, int],
+                  at: Snapshot | None) -> DataFrame:
     """Those of ``blocks`` whose stored keys, each once, are the announced ones."""
     hashes, out = broadcast_if_small(blocks.select("block_hash")), None
     for table, kind in KINDS.items():
-        stored = (lake.read(table, between=span)
+        stored = (lake.read(table, between=span, at=at)
                   .withColumn("_block", F.col(kind.block_col)).select("_block", *kind.key)
                   .join(hashes, F.col("_block") == hashes["block_hash"], "left_semi").distinct())
         part = stored.groupBy(F.col("_block").alias("block_hash")).agg(

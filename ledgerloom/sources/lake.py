@@ -92,16 +92,25 @@ class Lake:
         schema = T.StructType(list(KINDS[table].schema.fields) + _LAYOUT)
         return self.spark.read.schema(schema).parquet(self.path(table))
 
+    def folders(self) -> dict[str, set[tuple[str, str]]]:
+        """(bucket, batch) of every folder of each table, as they are now."""
+        return {table: {(bucket, batch) for bucket in self._buckets(self.path(table))
+                        for batch in self._in_bucket(self.path(table), bucket)} for table in KINDS}
+
     def read(self, table: str, heights: Sequence[int] | None = None,
-             between: tuple[int, int] | None = None) -> DataFrame:
+             between: tuple[int, int] | None = None,
+             at: dict[str, list[str]] | None = None) -> DataFrame:
         """Record columns only, optionally for given heights or a height range.
 
         Equality and IN also name the buckets, which prunes folders. A range names the
         batches that hold some of it, and uses the Parquet statistics inside them.
-        Blocks come with the status that counts.
+        ``at`` leaves out batches that are not in the snapshot. Blocks come with the status
+        that counts.
         """
         kind = KINDS[table]
         df, height = self.scan(table), F.col(kind.height_col)
+        if at is not None:
+            df = df.where(F.col(BATCH_COL).isin(at[table]))
         if heights is not None:
             wanted = [int(h) for h in heights]
             buckets = [self.bucket_of(F.lit(h)) for h in wanted]
