@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.conform import conform
 from ledgerloom.operators.dedupe import dedupe_identity
-from ledgerloom.operators.normalize import LedgerFrames, document_messages, to_messages
+from ledgerloom.operators.normalize import (
+    LedgerFrames,
+    document_figures,
+    document_messages,
+    to_messages,
+)
 from ledgerloom.plans import distribution, finality, flat
 from ledgerloom.registry.relations import ALERTS, SEQ_GAPS
 from ledgerloom.registry.scans import FLAT_LIGHT, flat_light
@@ -231,6 +236,7 @@ def flat_incremental_overlap(spark: SparkSession, sf: str) -> DataFrame:
     ws = Workspace(spark, sf)
     lake, made = ws.new_lake("overlap"), flat.FlatTable(spark, ws.new_dir("flat"))
     tip = ws.lake().high_water()
+    lake.expect(document_figures(ws.documents()), "publisher")
     lake.append_all(_between(ws.stored(), 0, tip - 50), "first")
     flat.build_incremental(lake, made)
     lake.append_all(_between(ws.stored(), tip - 59, tip), "second")
@@ -244,6 +250,7 @@ def flat_with_late_outputs(spark: SparkSession, sf: str) -> DataFrame:
     ws = Workspace(spark, sf)
     lake, made = ws.new_lake("late"), flat.FlatTable(spark, ws.new_dir("flat"))
     tip = ws.lake().high_water()
+    lake.expect(document_figures(ws.documents()), "publisher")
     for table, frame in ws.stored().items():
         upto = tip - 30 if table == "tx_out" else tip
         lake.append(table, frame.where(F.col(KINDS[table].height_col) <= upto), "first")
@@ -305,6 +312,7 @@ def flat_refresh_status(spark: SparkSession, sf: str) -> DataFrame:
     """Control events change stored blocks; the flat table follows when asked to."""
     ws = Workspace(spark, sf)
     lake, made = ws.new_lake("refresh"), flat.FlatTable(spark, ws.new_dir("flat"), band_width=200)
+    lake.expect(document_figures(ws.documents()), "publisher")
     lake.append_all(ws.stored(), "load")
     flat.build_incremental(lake, made)
     finality.apply_finality(lake, ws.views.control)

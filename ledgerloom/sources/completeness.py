@@ -7,7 +7,8 @@ where copies are stored, their keys are compared once each. Neither the order in
 files, batches or heights arrive nor how often they do matters.
 
 Blocks nobody counted (a dump, frames appended by hand) pass as whole when every table
-holds some of them; that cannot see a part of a table that is still to come.
+holds some of them; that cannot see a part of a table that is still to come, and a block
+without any record of a kind waits until somebody counts it.
 """
 
 from __future__ import annotations
