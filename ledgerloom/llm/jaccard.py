@@ -12,13 +12,16 @@ remaining pair is verified once, on the full sets.
 Copies of one set are one node, however many there are. In each n-gram's list
 the node that has it earliest, with the fewest rare n-grams of its own, is
 compared with all others first: the text that near copies were made of is the
-nearest to each of them. After that only nodes of different components are still paired, so a large group of near
-copies costs its size and not its square, and no link between components is
-missed.
+nearest to each of them. Where a list still holds several components, further
+rounds compare a few other nodes of it with the rest. Only then are the nodes of
+different components paired, each pair in the first list it meets in and only if
+the parities of its sets allow it. So a large group of near copies costs its size and
+not its square, and no link between components is missed.
 
 Empty or null texts have an empty set and link with nothing. Rows without an
-id take part in nothing. Rows that repeat an id get that id's component. Other
-columns of the input are ignored, whatever their names.
+id take part in nothing. Every row counts with its own text, also where rows repeat
+an id; equal rows get equal results. Other columns of the input are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import storage
@@ -35,6 +38,9 @@ from ledgerloom.llm import common
 from ledgerloom.llm.common import MIX as _MIX
 from ledgerloom.llm.common import mixed as _mix
 
+ROUNDS = 2                # of comparing a few nodes of each list with all others, after the first
+LEADERS = 4               # so many of each list
+EARLIER = 4               # n-grams before its own that a list's entry remembers
 LEVELS = (16, 128, 1024)  # an n-gram counted more often comes later in the order
 PARITY_LONGS = 16         # 1,024 parities of a set: their difference bounds the symmetric difference
 
@@ -79,16 +85,21 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat.view(np.int64)))
 
 
+def _node(grams: np.ndarray) -> int:
+    """The number of a set; equal sets have equal numbers."""
+    with np.errstate(over="ignore"):
+        key = _mix(np.array([np.add.reduce(_mix(grams ^ _MIX[0]), dtype=np.uint64)
+                             + np.uint64(len(grams))]))
+    return int(key.view(np.int64)[0])
+
+
 def _signatures(ngram: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, nodes, parity, prefix = [], [], [], []
             for g in shingle_sets(b.column(1), ngram):
                 sizes.append(len(g))
-                with np.errstate(over="ignore"):
-                    key = _mix(np.array([np.add.reduce(_mix(g ^ _MIX[0]), dtype=np.uint64)
-                                         + np.uint64(len(g))]))
-                nodes.append(int(key.view(np.int64)[0]))
+                nodes.append(_node(g))
                 parity.append(_parities(g))
                 prefix.append(g[:_prefix_sizes(len(g), percent)])
             yield pa.RecordBatch.from_arrays(
@@ -124,16 +135,17 @@ def _prefixes(ngram: int, percent: int, late, bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, prefix = [], []
+            rows, nodes, prefix = [], [], []
             for i, g in enumerate(shingle_sets(b.column(1), ngram)):
                 if not len(g):
                     continue
                 order = np.argsort(_level(g, late.value, mask), kind="stable")
                 rows.append(i)
+                nodes.append(_node(g))
                 prefix.append(g[order[:_prefix_sizes(len(g), percent)]])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(rows, pa.int64())), _lists(prefix)],
-                names=["doc_id", "prefix"])
+                [b.column(0).take(pa.array(rows, pa.int64())), pa.array(nodes, pa.int64()),
+                 _lists(prefix)], names=["doc_id", "node", "prefix"])
     return run
 
 
@@ -142,9 +154,10 @@ def _sets(ngram: int, wanted):
         for b in batches:
             keep = common.has_bit(wanted.value, b.column(2).to_numpy())
             b = b.filter(pa.array(keep))
+            sets = list(shingle_sets(b.column(1), ngram))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), _lists(list(shingle_sets(b.column(1), ngram)))],
-                names=["doc_id", "grams"])
+                [b.column(0), pa.array(map(_node, sets), pa.int64()), _lists(sets)],
+                names=["doc_id", "node", "grams"])
     return run
 
 
@@ -166,8 +179,8 @@ class JaccardJoin:
         self.signed = common.written(self.whole.drop("prefix"), "sizes")
         self.nodes = common.written(
             self.signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))
-            .join(self.signed.select(F.col("doc_id").alias("first"), "n", "parity"), "first")
-            .dropDuplicates(["node"]), "nodes")
+            .join(self.signed.select(F.col("doc_id").alias("first"), "node", "n", "parity"),
+                  ["first", "node"]).dropDuplicates(["node"]), "nodes")
 
     def _late(self, grams: DataFrame):
         """Bit sets of the n-grams known to be beyond each level, and how many bits each has."""
@@ -192,9 +205,9 @@ class JaccardJoin:
             _crowded(self.ngram, self.percent, late, bits), "gram long")
         late, bits = self._late(members)
         prefixes = self.docs.mapInArrow(_prefixes(self.ngram, self.percent, late, bits),
-                                        "doc_id long, prefix array<long>")
+                                        "doc_id long, node long, prefix array<long>")
         keys = self.nodes.select(F.col("first").alias("doc_id"), "node")
-        index = (prefixes.join(keys, "doc_id").dropDuplicates(["doc_id", "node"])
+        index = (prefixes.join(keys, ["doc_id", "node"]).dropDuplicates(["doc_id", "node"])
                  .select("node", F.posexplode("prefix").alias("pos", "gram")))
         shared = (index.groupBy("gram").agg(F.min("pos").alias("least"), F.count("*").alias("c"))
                   .where("c > 1").drop("c"))
@@ -218,52 +231,92 @@ class JaccardJoin:
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs whose sets are similar enough, each looked at once."""
         pairs = common.written(self._filtered(pairs), "pairs")
-        ids = pairs.select(F.explode(F.array("a_first", "b_first")).alias("doc_id")).distinct()
-        ids = common.written(ids, "ids")
+        ids = pairs.select(F.explode(F.array(
+            F.struct(F.col("a_first").alias("doc_id"), F.col("a").alias("node")),
+            F.struct(F.col("b_first").alias("doc_id"), F.col("b").alias("node")))).alias("i"))
+        ids = common.written(ids.select("i.*").distinct(), "ids")
         bits = common.bits_for(ids.count(), 16)
         at = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("at")
         wanted = self.spark.sparkContext.broadcast(common.bit_set(ids.select(at), "at", bits))
         sets = (self.docs.select("doc_id", "text", at)
-                .mapInArrow(_sets(self.ngram, wanted), "doc_id long, grams array<long>")
-                .join(ids, "doc_id").dropDuplicates(["doc_id"]))
+                .mapInArrow(_sets(self.ngram, wanted), "doc_id long, node long, grams array<long>")
+                .join(ids, ["doc_id", "node"]).dropDuplicates(["node"]))
         sets = common.written(sets, "sets")
-        a = sets.select(F.col("doc_id").alias("a_first"), F.col("grams").alias("a_grams"))
-        b = sets.select(F.col("doc_id").alias("b_first"), F.col("grams").alias("b_grams"))
+        a = sets.select(F.col("node").alias("a"), F.col("grams").alias("a_grams"))
+        b = sets.select(F.col("node").alias("b"), F.col("grams").alias("b_grams"))
         both = F.size(F.array_intersect("a_grams", "b_grams"))
         return common.written(
-            pairs.join(b, "b_first").join(a, "a_first")
+            pairs.join(b, "b").join(a, "a")
             .where(100 * both >= self.percent * (F.col("a_n") + F.col("b_n") - both))
             .select("a", "b"), "links")
 
-    def _across(self, postings: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs in one n-gram's list whose nodes are in different components so far.
+    def _mixed(self, postings: DataFrame, roots: DataFrame) -> DataFrame:
+        """The entries of lists that hold several components so far.
 
-        Lists of one component drop out by an aggregate; in the others a node is
-        matched with the list's other components first and only then with nodes. The
-        first n-gram two sets share has nothing in common before it, so what is left of
-        either set from there on must be as large as the overlap they need.
+        Besides its own place each entry knows its node's component, its parities folded to
+        256, and the last lists before this one that its node stands in.
         """
-        t = self.percent
         rows = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-        rows = common.written(rows.join(mixed.where("lo < hi").select("gram"), "gram"), "mixed")
-        groups = (rows.groupBy("gram", F.col("root").alias("other"))
+        kinds = rows.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+        rows = rows.join(kinds.where("lo < hi").select("gram"), "gram")
+        before = Window.partitionBy("node").orderBy("pos").rowsBetween(-EARLIER, -1)
+        folded = [F.expr(" ^ ".join(f"parity[{k + 4 * j}]" for j in range(PARITY_LONGS // 4)))
+                  .alias(f"q{k}") for k in range(4)]
+        rows = rows.select("gram", "node", "root", "n", "pos",
+                           F.collect_list("gram").over(before).alias("early"))
+        return common.written(rows.join(self.nodes.select("node", *folded), "node"), "mixed")
+
+    def _near(self):
+        """Can entries a and b of one list be near, and is this the first list they share?
+
+        The first n-gram two sets share has nothing in common before it, so what is left
+        of either set from there on must be as large as the overlap they need.
+        """
+        t, a, b = self.percent, "a.{}".format, "b.{}".format
+        total = F.col(a("n")) + F.col(b("n"))
+        least = F.ceil(F.lit(t) * total / (100 + t))
+        odd = sum((F.bit_count(F.col(a(f"q{k}")).bitwiseXOR(F.col(b(f"q{k}")))) for k in range(4)),
+                  F.lit(0))
+        return ((100 * F.least(a("n"), b("n")) >= t * F.greatest(a("n"), b("n")))
+                & (F.least(F.col(a("n")) - F.col(a("pos")), F.col(b("n")) - F.col(b("pos"))) >= least)
+                & (odd <= total - 2 * least) & ~F.arrays_overlap(a("early"), b("early")))
+
+    @staticmethod
+    def _pair(rows: DataFrame) -> DataFrame:
+        return rows.select(F.least("a.node", "b.node").alias("a"),
+                           F.greatest("a.node", "b.node").alias("b")).distinct()
+
+    def _led(self, mixed: DataFrame, round_number: int) -> DataFrame:
+        """A few nodes of each list, with all of its nodes of other components."""
+        entry = F.struct(*mixed.columns)
+        picked = [F.min_by(entry, F.xxhash64("node", F.lit(LEADERS * round_number + k)))
+                  for k in range(LEADERS)]
+        leaders = (mixed.groupBy("gram").agg(F.array_distinct(F.array(*picked)).alias("l"))
+                   .select(F.explode("l").alias("l")).select("l.*"))
+        return self._pair(leaders.alias("a").join(
+            mixed.alias("b"), (F.col("a.gram") == F.col("b.gram"))
+            & (F.col("a.root") != F.col("b.root")) & self._near()))
+
+    def _across(self, mixed: DataFrame) -> DataFrame:
+        """Pairs of nodes that share a list and are in different components so far.
+
+        Each component of a list is matched with the list's other components first and
+        only then with their nodes.
+        """
+        t = self.percent
+        groups = (mixed.groupBy("gram", F.col("root").alias("other"))
                   .agg(F.min("n").alias("n0"), F.max("n").alias("n1"), F.min("pos").alias("p0")))
-        left = rows.select("gram", "root", F.col("node").alias("a"), F.col("n").alias("an"),
-                           F.col("pos").alias("ap"))
-        right = rows.select("gram", F.col("root").alias("other"), F.col("node").alias("b"),
-                            F.col("n").alias("bn"), F.col("pos").alias("bp"))
-
-        def least(m: str):
-            return F.ceil(F.lit(t) * (F.col("an") + F.col(m)) / (100 + t))
-        near = ((100 * F.col("an") >= t * F.col("n0")) & (100 * F.col("n1") >= t * F.col("an"))
-                & (F.least(F.col("an") - F.col("ap"), F.col("n1") - F.col("p0")) >= least("n0")))
-        near_one = ((100 * F.least("an", "bn") >= t * F.greatest("an", "bn"))
-                    & (F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp")) >= least("bn")))
-        return (left.join(groups, (left["gram"] == groups["gram"]) & (F.col("root") < F.col("other"))
-                          & near)
-                .drop(groups["gram"]).join(right, ["gram", "other"]).where(near_one)
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        least = F.ceil(F.lit(t) * (F.col("n") + F.col("n0")) / (100 + t))
+        near = ((100 * F.col("n") >= t * F.col("n0")) & (100 * F.col("n1") >= t * F.col("n"))
+                & (F.least(F.col("n") - F.col("pos"), F.col("n1") - F.col("p0")) >= least))
+        left = (mixed.join(groups, "gram").where((F.col("root") < F.col("other")) & near)
+                .select(*mixed.columns, "other"))
+        return self._pair(left.alias("a").join(
+            mixed.alias("b"), (F.col("a.gram") == F.col("b.gram"))
+            & (F.col("a.other") == F.col("b.root")) & self._near()))
+
+    def _joined(self, found: DataFrame) -> DataFrame:
+        return common.written(common.components(found, "a", "b"), "roots")
 
     def links(self) -> tuple[DataFrame, DataFrame]:
         """Verified links that hold every component together, and (node, root)."""
@@ -273,10 +326,18 @@ class JaccardJoin:
                 .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
         star = common.written(star, "star")
         found = self._verified(star)
-        roots = common.written(common.components(found, "a", "b"), "roots")
-        rest = self._across(postings, roots).join(star, ["a", "b"], "left_anti")
-        found = found.union(self._verified(rest))
-        return found, common.written(common.components(found, "a", "b"), "roots")
+        roots = self._joined(found)
+        for k in range(ROUNDS):
+            mixed = self._mixed(postings, roots)
+            more = self._verified(self._led(mixed, k).join(star, ["a", "b"], "left_anti"))
+            if more.isEmpty():
+                break
+            found = found.union(more)
+            roots = self._joined(found)
+        else:
+            mixed = self._mixed(postings, roots)
+        found = found.union(self._verified(self._across(mixed).join(star, ["a", "b"], "left_anti")))
+        return found, self._joined(found)
 
     def groups(self) -> DataFrame:
         """One row per row with an id: doc_id, n_shingles, component_id."""

@@ -85,3 +85,38 @@ def test_word_rules(spark):
 def test_documents_without_columns_to_spare(spark):
     docs = spark.createDataFrame([full(1, "x y"), full(2, "x y")], SCHEMA)
     assert {r.component_id for r in jaccard.jaccard_groups(docs).collect()} == {1}
+
+
+def test_rows_that_repeat_an_id_count_with_their_own_texts(spark):
+    rng = random.Random(8)
+    a, b = ([rng.choice("abcdefghijklmnop") + str(rng.randrange(99)) for _ in range(30)]
+            for _ in range(2))
+    near = [*a[:-1], "changed"]
+    rows = [(1, a), (1, b), (2, near), (3, [*b, "tail"]), (3, [*b, "tail"]), (4, ["else"])]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows],
+                                 "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in jaccard.jaccard_groups(docs).collect())
+    assert got == [(1, 26, 1), (1, 26, 1), (2, 26, 1), (3, 27, 1), (3, 27, 1), (4, 1, 4)]
+
+
+def group_of(count, seed=3):
+    """Near copies of an absent text, each with 14 words in a row replaced."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    rows = []
+    for k in range(count):
+        text, at = list(base), rng.randrange(187)
+        text[at:at + 14] = [f"n{rng.randrange(10 ** 6)}" for _ in range(14)]
+        rows.append((k, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("count", [100, 400])
+def test_near_copies_without_their_original(spark, monkeypatch, count):
+    rows, looked_at = group_of(count), []
+    verified = jaccard.JaccardJoin._verified
+    monkeypatch.setattr(jaccard.JaccardJoin, "_verified", lambda self, pairs: (
+        looked_at.append(pairs.count()), verified(self, pairs))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {tuple(r) for r in jaccard.jaccard_groups(docs).collect()} == brute(rows)
+    assert sum(looked_at) < 20 * count, looked_at
