@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ledgerloom.llm import common
+from ledgerloom.operators.broadcasting import broadcast_if_small
 
 LEAST_DOCS = 3
 SCALE = 1_000_000_000
@@ -192,7 +193,8 @@ def _in_blocks(kept: DataFrame, groups: DataFrame) -> DataFrame:
         F.lit(BLOCK_LEVELS) / F.pow(F.lit(2.0), F.col("stratum")))))
     sizes = (total.groupBy("lang", "stratum").agg(F.count("*").alias("c"))
              .withColumn("parts", F.ceil(F.col("c") / room)).drop("c"))
-    placed = (total.join(sizes, ["lang", "stratum"])
+    # a row for each language and power of two
+    placed = (total.join(broadcast_if_small(sizes), ["lang", "stratum"])
               .select("lang", "term", "stratum",
                       F.pmod(F.xxhash64("term"), F.col("parts")).alias("part")))
     body = kept.join(placed, ["lang", "term"]).join(groups, ["lang", "source"]).select(
