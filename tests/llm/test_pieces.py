@@ -26,8 +26,8 @@ def vocabulary():
 
 
 def same(library, codec, texts):
-    for text in texts:
-        ids = np.frombuffer(codec.encode(text), "<i4")
+    for text, coded in zip(texts, codec.encode(texts), strict=True):
+        ids = np.frombuffer(coded, "<i4")
         want = library.encode(text, add_eos=True)
         assert ids.tolist() == want, text
         assert codec.decode(ids) == library.decode(want)
@@ -44,18 +44,45 @@ def test_odd_texts(library, vocabulary):
 def test_one_agenda_for_a_whole_text_gives_the_same(library, vocabulary):
     rng = random.Random(4)
     codec = pieces.Codec(vocabulary)
-    codec.words, codec._parts = None, lambda word: [word]
+    codec.words = None
     same(library, codec, ["".join(rng.choice(LETTERS) for _ in range(rng.randrange(60)))
                           for _ in range(500)])
 
 
+class Small:
+    """A vocabulary without a model."""
+
+    def __init__(self, costs, letters):
+        self.names = [*letters, *costs]
+        self.ids = {p: i for i, p in enumerate(self.names)}
+        self.costs = dict.fromkeys(letters, 99.0) | costs
+
+
 def test_best_score_first_and_ties_from_the_left():
-    scores = {"ab": -3.0, "bc": -1.0, "abc": -5.0, "aa": -2.0, "aaaa": -2.0}
-    assert pieces.merged("abc", scores) == ["abc"]      # bc first, then a + bc
-    assert pieces.merged("abca", scores) == ["abc", "a"]
-    assert pieces.merged("aaa", scores) == ["aa", "a"]
-    assert pieces.merged("aaaaa", scores) == ["aaaa", "a"]
-    assert pieces.merged("", scores) == []
+    v = Small({"ab": 3.0, "bc": 1.0, "abc": 5.0, "aa": 2.0, "aaaa": 2.0}, "ac")
+    agendas = pieces.Agendas(v)
+
+    def both(text):
+        flat, ends = agendas.merge([text])
+        found = pieces.merged(text, v.costs)
+        assert ends.tolist() == [len(found)] and [
+            v.names[i] for i in flat.tolist() if i < len(v.names)] == [
+            p for p in found if p in v.ids]
+        return found
+
+    assert both("abc") == ["abc"]      # bc first, then a + bc
+    assert both("abca") == ["abc", "a"]
+    assert both("aaa") == ["aa", "a"]
+    assert both("aaaaa") == ["aaaa", "a"]
+    assert both("bbzb") == ["b", "b", "z", "b"]   # b is a letter of pieces, z of none
+    assert both("a") == ["a"] and pieces.merged("", v.costs) == []
+    rng = random.Random(6)
+    words = ["".join(rng.choice("aaabcz") for _ in range(rng.randrange(1, 49)))
+             for _ in range(400)]
+    for w in words:
+        both(w)
+    flat, ends = agendas.merge(words)
+    assert np.diff(np.r_[0, ends]).tolist() == [len(pieces.merged(w, v.costs)) for w in words]
 
 
 def test_words_are_forgotten_and_met_again(library, vocabulary, monkeypatch):
@@ -92,8 +119,16 @@ def test_awkward_rows(hard, nothing, library, vocabulary):
     assert pieces.encode_decode(nothing, vocabulary, check="ok").count() == 0
 
 
-def test_the_check_sees_a_difference(library):
-    texts = ["one", "two"]
-    flat = np.array([*library.encode("one", add_eos=True), 5, 2])
-    ends = np.array([0, len(flat) - 2, len(flat)])
-    assert pieces._agree(library, texts, flat, ends, texts) == [True, False]
+def test_the_check_sees_a_difference(vocabulary):
+    codec = pieces.Codec(vocabulary, checks=True)
+    texts = ["one  two\nthree", "four one", "", " ", "five"]
+    codec.encode(texts)
+    assert codec.unchecked
+    codec.check()
+    assert not codec.unchecked and all(map(codec.agrees, texts))
+    ids = codec.known.pop("▁five")
+    codec.agendas.merge = lambda words: (np.frombuffer(ids * 2, "<i4").astype(np.int32),
+                                         np.array([len(ids) // 2]))
+    codec.encode(texts)
+    codec.check()
+    assert [codec.agrees(t) for t in texts] == [True, True, True, True, False]
