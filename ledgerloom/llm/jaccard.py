@@ -12,8 +12,8 @@ remaining pair is verified once, on the full sets.
 Copies of one set are one node, however many there are. In each n-gram's list
 the node that has it earliest, with the fewest rare n-grams of its own, is
 compared with all others first: the text that near copies were made of is the
-nearest to each of them. Where a list still holds several components, further
-rounds compare a few other nodes of it with the rest. Only then are the nodes of
+nearest to each of them. Where a list still holds several components, a further
+round compares a few other nodes of it with the rest. Only then are the nodes of
 different components paired, each pair in the first list it meets in and only if
 the parities of its sets allow it. So a large group of near copies costs its size and
 not its square, and no link between components is missed.
@@ -37,8 +37,9 @@ from ledgerloom import storage
 from ledgerloom.llm import common
 from ledgerloom.llm.common import MIX as _MIX
 from ledgerloom.llm.common import mixed as _mix
+from ledgerloom.operators.broadcasting import MAX_BROADCAST_BYTES
 
-ROUNDS = 2                # of comparing a few nodes of each list with all others, after the first
+ROUNDS = 1                # of comparing a few nodes of each list with all others, after the first
 LEADERS = 4               # so many of each list
 EARLIER = 4               # n-grams before its own that a list's entry remembers
 LEVELS = (16, 128, 1024)  # an n-gram counted more often comes later in the order
@@ -152,8 +153,8 @@ def _prefixes(ngram: int, percent: int, late, bits: int):
 def _sets(ngram: int, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = common.has_bit(wanted.value, b.column(2).to_numpy())
-            b = b.filter(pa.array(keep))
+            if wanted is not None:
+                b = b.filter(pa.array(common.has_bit(wanted.value, b.column(2).to_numpy())))
             sets = list(shingle_sets(b.column(1), ngram))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(map(_node, sets), pa.int64()), _lists(sets)],
@@ -230,27 +231,36 @@ class JaccardJoin:
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs whose sets are similar enough, each looked at once."""
-        pairs = common.written(self._filtered(pairs), "pairs")
+        pairs, pairs_at = common.written_at(self._filtered(pairs), "pairs")
         ids = pairs.select(F.explode(F.array(
             F.struct(F.col("a_first").alias("doc_id"), F.col("a").alias("node")),
             F.struct(F.col("b_first").alias("doc_id"), F.col("b").alias("node")))).alias("i"))
-        ids = common.written(ids.select("i.*").distinct(), "ids")
-        bits = common.bits_for(ids.count(), 16)
-        at = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("at")
-        wanted = self.spark.sparkContext.broadcast(common.bit_set(ids.select(at), "at", bits))
-        sets = (self.docs.select("doc_id", "text", at)
-                .mapInArrow(_sets(self.ngram, wanted), "doc_id long, node long, grams array<long>")
-                .join(ids, ["doc_id", "node"]).dropDuplicates(["node"]))
-        sets = common.written(sets, "sets")
+        ids, ids_at = common.written_at(ids.select("i.*").distinct(), "ids")
+        schema = "doc_id long, node long, grams array<long>"
+        count = ids.count()
+        if count * 16 <= MAX_BROADCAST_BYTES:   # the other texts need not reach Python at all
+            named = self.docs.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id")
+            sets = named.select("doc_id", "text").mapInArrow(_sets(self.ngram, None), schema)
+        else:
+            bits = common.bits_for(count, 16)
+            at = F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("at")
+            wanted = self.spark.sparkContext.broadcast(common.bit_set(ids.select(at), "at", bits))
+            sets = self.docs.select("doc_id", "text", at).mapInArrow(
+                _sets(self.ngram, wanted), schema)
+        sets, sets_at = common.written_at(
+            sets.join(ids, ["doc_id", "node"]).dropDuplicates(["node"]), "sets")
         a = sets.select(F.col("node").alias("a"), F.col("grams").alias("a_grams"))
         b = sets.select(F.col("node").alias("b"), F.col("grams").alias("b_grams"))
         both = F.size(F.array_intersect("a_grams", "b_grams"))
-        return common.written(
+        links = common.written(
             pairs.join(b, "b").join(a, "a")
             .where(100 * both >= self.percent * (F.col("a_n") + F.col("b_n") - both))
             .select("a", "b"), "links")
+        for path in (pairs_at, ids_at, sets_at):
+            storage.delete(self.spark, path)
+        return links
 
-    def _mixed(self, postings: DataFrame, roots: DataFrame) -> DataFrame:
+    def _mixed(self, postings: DataFrame, roots: DataFrame) -> tuple[DataFrame, str]:
         """The entries of lists that hold several components so far.
 
         Besides its own place each entry knows its node's component, its parities folded to
@@ -264,7 +274,7 @@ class JaccardJoin:
                   .alias(f"q{k}") for k in range(4)]
         rows = rows.select("gram", "node", "root", "n", "pos",
                            F.collect_list("gram").over(before).alias("early"))
-        return common.written(rows.join(self.nodes.select("node", *folded), "node"), "mixed")
+        return common.written_at(rows.join(self.nodes.select("node", *folded), "node"), "mixed")
 
     def _near(self):
         """Can entries a and b of one list be near, and is this the first list they share?
@@ -327,16 +337,17 @@ class JaccardJoin:
         star = common.written(star, "star")
         found = self._verified(star)
         roots = self._joined(found)
+        mixed, path = self._mixed(postings, roots)
         for k in range(ROUNDS):
-            mixed = self._mixed(postings, roots)
             more = self._verified(self._led(mixed, k).join(star, ["a", "b"], "left_anti"))
             if more.isEmpty():
                 break
             found = found.union(more)
             roots = self._joined(found)
-        else:
-            mixed = self._mixed(postings, roots)
+            storage.delete(self.spark, path)
+            mixed, path = self._mixed(postings, roots)
         found = found.union(self._verified(self._across(mixed).join(star, ["a", "b"], "left_anti")))
+        storage.delete(self.spark, path)
         return found, self._joined(found)
 
     def groups(self) -> DataFrame:
