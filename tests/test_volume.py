@@ -8,9 +8,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.conform import conform
 from ledgerloom.registry.workspace import Workspace
 from ledgerloom.schemas import BUCKET_COL, KINDS
+from ledgerloom.sources import lake as lake_module
 from ledgerloom.sources import topics
+from ledgerloom.sources.lake import Lake
 from ledgerloom.sources.views import LedgerViews
 from tests.conftest import rows
 
@@ -81,3 +84,30 @@ def test_the_lake_is_loaded_from_rows_spread_before_they_are_made(spark, tables)
     spread = LedgerViews(spark, tables, spread=lake.bucket_of).tx_out
     above = plan_of(spread).split("REBALANCE")[0]
     assert "AS scriptPubKey" in above  # made behind the rebalance
+
+
+def test_large_appends_send_no_records_through_a_shuffle(spark, folder, monkeypatch):
+    asked, before = [], spark.conf.get(OPEN_FILES)
+    whole = Lake._write
+
+    def write(self, laid_out, path, as_it_lies=False):
+        asked.append((as_it_lies, laid_out.sparkSession.conf.get(OPEN_FILES)))
+        whole(self, laid_out, path, as_it_lies)
+
+    monkeypatch.setattr(Lake, "_write", write)
+    made = spark.range(0, 400, 1, 4).select(F.col("id").alias("n"))
+    records = conform(made.select(
+        F.md5(F.col("n").cast("string").cast("binary")).alias("txid"), F.lit("b").alias("hashBlock"),
+        F.lit(1).alias("version"), F.col("n").alias("lockTime"),
+        (F.col("n") % 40).cast("int").alias("block_height")), KINDS["transactions"])
+    few, many = Lake(spark, folder("lake")), Lake(spark, folder("lake"))
+    few.append("transactions", records, "one")
+    monkeypatch.setattr(lake_module, "FILE_BYTES", 1)
+    many.append("transactions", records, "one")
+    many.append("transactions", records, "one")
+    assert asked == [(False, "10"), (True, "10"), (True, "10")]
+    assert rows(few.read("transactions")) == rows(many.read("transactions")) == rows(records)
+    kept = many.scan("transactions").select(
+        many.bucket_of(F.col("block_height")).alias("want"), BUCKET_COL)
+    assert kept.where(f"want != {BUCKET_COL}").isEmpty()
+    assert spark.conf.get(OPEN_FILES) == before
