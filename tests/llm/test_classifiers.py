@@ -2,6 +2,8 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import language, queries, toxicity
 from ledgerloom.llm.common import in_fold, read
@@ -40,6 +42,43 @@ def test_toxicity_pools_whole_texts():
     assert abs(again[0] - z[0]) < 1e-4
 
 
+def test_toxicity_learns_from_all_labelled_texts(spark):
+    """Past the first thousands of ids by hash another word marks the toxic texts."""
+    place = F.row_number().over(Window.orderBy("toxic", F.xxhash64("doc_id")))
+    labels = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(
+        F.col("id") % 2 == 0, 1).otherwise(0).alias("toxic"))
+    docs = labels.withColumn("place", place).select(
+        "doc_id", F.concat(F.lit("some words "), F.col("doc_id") % 90, F.lit(" "), F.when(
+            F.col("toxic") == 0, "fine").when(F.col("place") <= 4500, "vile").otherwise("nasty"))
+        .alias("text"))
+    m = toxicity.fit(docs, labels)
+    texts = ["some words 3 nasty", "some words 3 vile", "some words 3 fine"]
+    z = toxicity._logits(m, pa.array(texts), toxicity._projections(m))
+    assert min(z[0], z[1]) > z[2] + 1
+
+
+def test_workers_learn_as_one_and_counts_calibrate_as_rows(spark):
+    rng = np.random.default_rng(3)
+    made = [(int(h), " ".join(f"w{k}" for k in rng.integers(0, 50, 9)) + " vile" * int(h % 2),
+             int(h % 2)) for h in rng.integers(-10**15, 10**15, 300)]
+    rows = spark.createDataFrame(made, "h long, text string, toxic int")
+    for workers in (1, 3):
+        m = toxicity.train_on(rows, workers, 0.5)
+        z = toxicity._logits(m, pa.array(["w1 w2 vile", "w1 w2"]), toxicity._projections(m))
+        assert z[0] > z[1] + 1
+    value, square = toxicity._as_rows(*toxicity._start(rng, np.zeros(
+        (toxicity.HASHES, 2, toxicity.BUCKETS)), 0.5))
+    again = toxicity._as_rows(*toxicity._from_rows(value, square))
+    assert (again[0] == value).all() and (again[1] == square).all()
+    label, logits = np.array([0.0, 0, 1, 1, 1]), np.array([-1.0, 2, 1, 1, 3])
+    few, many = (toxicity.Model([]) for _ in range(2))
+    times = np.array([10.0, 10, 10, 10, 10])
+    toxicity.calibrate(few, logits, label, ["x"] * 5, 0.4, times)
+    toxicity.calibrate(many, np.repeat(logits, 10), np.repeat(label, 10), ["x"] * 50, 0.4)
+    assert np.isclose([few.scale, few.shift], [many.scale, many.shift]).all()
+    assert few.thresholds == many.thresholds and few.threshold == many.threshold
+
+
 def test_language_holds_on_texts_not_learned_from(spark):
     rows = (queries.op2_language(spark, SF).join(
         read(spark, SF, "documents").select("doc_id", "lang"), "doc_id").where("held_out").toPandas())
