@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import glob
 import gzip
+import json
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,6 +89,30 @@ def test_the_lake_is_loaded_from_rows_spread_before_they_are_made(spark, tables)
     assert "AS scriptPubKey" in above  # made behind the rebalance
 
 
+def test_records_of_a_block_lie_together(spark, tables):
+    ws, heights = Workspace(spark, tables), {}
+    for table, kind in KINDS.items():
+        if table == "blocks":
+            continue
+        for name in glob.glob(f"{topics.topic_dir(ws.topics_dir(), kind.topic)}/*.gz"):
+            with gzip.open(name, "rt") as lines:
+                told = [json.loads(json.loads(line)["value"]) for line in lines]
+            # a transaction's records stand side by side in its block
+            order = [(r[kind.height_col], r["txid"]) for r in told]
+            runs = [at for k, at in enumerate(order) if not k or order[k - 1] != at]
+            assert len(runs) == len(set(runs))
+            assert [h for h, _ in order] == sorted(h for h, _ in order)
+            heights.setdefault(table, set()).update(h for h, _ in order)
+        for name in glob.glob(f"{ws.lake().path(table)}/**/*.parquet", recursive=True):
+            found = pq.ParquetFile(name).read([kind.height_col])[kind.height_col].to_pylist()
+            assert found == sorted(found)
+    assert heights == {t: {0, 1, 2} for t in ("transactions", "tx_in", "tx_out")}
+    # narrow rows are sorted, and records made of them behind it
+    plan = plan_of(LedgerViews(spark, tables, ordered=True).tx_out)
+    assert "AS scriptPubKey" in plan.split("Sort [h#")[0]
+    assert rows(LedgerViews(spark, tables, ordered=True).tx_out) == rows(ws.views.tx_out)
+
+
 def test_large_appends_send_no_records_through_a_shuffle(spark, folder, monkeypatch):
     asked, before = [], spark.conf.get(OPEN_FILES)
     whole = Lake._write
