@@ -65,7 +65,7 @@ def range_layout(spark: SparkSession, sf: str) -> DataFrame:
     """Flat rows per range folder, here with ranges of 1,000 heights."""
     ws = Workspace(spark, sf)
     flat = FlatTable(spark, ws.new_dir("flat"), range_width=1000, band_width=1000)
-    flat.append(build_flat(ws.stored()))
+    flat.append(build_flat(ws.stored()), span=(0, ws.lake().high_water()))
     folders = spark.read.parquet(flat.path)
     return folders.groupBy(F.col(RANGE_COL).cast("bigint").alias("height_range")).agg(
         F.count("*").alias("row_count"),
