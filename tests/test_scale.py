@@ -7,11 +7,18 @@ from pyspark.sql import functions as F
 
 from ledgerloom import storage
 from ledgerloom.operators.conform import conform
-from ledgerloom.operators.normalize import normalize
-from ledgerloom.plans import finality, flat
+from ledgerloom.operators.normalize import (
+    cut_documents,
+    cut_figures,
+    document_figures,
+    normalize,
+    normalize_cut,
+)
+from ledgerloom.plans import distribution, finality, flat
 from ledgerloom.registry.workspace import Workspace
 from ledgerloom.schemas import FLAT, KINDS, RAW_BUCKETS
 from ledgerloom.sources.lake import Lake
+from ledgerloom.streaming import ingest
 from tests.conftest import STAMP, block, chain, mint, pay, rows, tx
 from tests.test_lake import events
 
@@ -124,3 +131,48 @@ def test_refreshed_statuses_and_revived_rows(spark, folder, lake_of, monkeypatch
     flat.build_incremental(lake, made, refresh_status=True)
     assert rows(made.read(), "block_height", "finality_status") == [
         (0, "CONFIRMED"), (1, "OBSERVED"), (2, "OBSERVED"), (3, "CONFIRMED")]
+
+
+def test_documents_that_are_cut_give_the_same_records(spark, folder, documents):
+    docs = documents([block(0, [tx("a", [mint()], [pay(0, "50", "x")])]), block(1, []),
+                      block(2, [tx("b", [mint("01")], [pay(1, "2"), pay(0, "1")]), tx("c", [], [])])])
+    docs = docs.withColumn("slice", F.when(F.col("height") == 2, 1))
+    path = folder("cut")
+    cut_documents(docs).write.parquet(path)
+    cut = spark.read.parquet(path)
+    for (_, want), (_, got) in zip(normalize(docs, STAMP, -1).items(),
+                                   normalize_cut(cut, STAMP, -1).items()):
+        assert rows(got) == rows(want)
+    assert rows(cut_figures(cut)) == rows(document_figures(docs))
+
+
+def test_a_catchup_caches_no_documents(spark, folder, documents, monkeypatch):
+    def refuse(*args):
+        raise AssertionError("persisted")
+
+    docs, lake = documents(chain(6)), Lake(spark, folder("lake"))
+    monkeypatch.setattr(type(docs), "persist", refuse)
+    assert ingest.catchup(docs, lake, observed_at=STAMP) == (0, 5)
+    assert rows(lake.read("blocks"), "height") == [(h,) for h in range(6)]
+    assert not [n for n in storage.child_names(spark, storage.shared_dir(spark))
+                if n.startswith("catchup-staged")]
+
+
+def test_rows_by_txid_and_streams_send_hashes_as_bytes(spark, folder):
+    one = spark.createDataFrame(
+        [("00ff", [("ab", 1), None], "Text"), ("x", None, None)],
+        "txid string, inputs array<struct<h: string, n: int>>, address string")
+    dealt = distribution._dealt(one, "txid", 3)
+    exchange = [line for line in dealt._jdf.queryExecution().optimizedPlan().toString().split("\n")
+                if "Repartition" in line]
+    assert len(exchange) == 1 and "unhex" not in exchange[0]
+    below = dealt._jdf.queryExecution().optimizedPlan().toString().split("Repartition")[1]
+    assert "unhex" in below
+    assert rows(dealt) == rows(one)
+    want = one.select("txid", (F.expr("pmod(hash(txid), 3)")).alias("at"))
+    assert rows(dealt.select("txid", F.spark_partition_id().alias("at"))) == rows(want)
+    topic = folder("topic")
+    storage.make_dirs(spark, topic)
+    messages = spark.readStream.schema("value STRING").json(topic)
+    plan = ingest.deduplicated(messages, KINDS["tx_out"])._jdf.queryExecution().analyzed().toString()
+    assert "unhex" in plan.split("DeduplicateWithinWatermark")[1]
